@@ -73,7 +73,7 @@ def frequency(df: DataFrame, by: list[str], item: str) -> DataFrame:
 
 def multiset_minus(left: DataFrame, right: DataFrame) -> DataFrame:
     """Bag difference: each right row cancels one equal left row."""
-    return left.exceptAll(right)
+    return left.exceptAll(right.select(*left.columns))
 
 
 def bounded_lists(df: DataFrame, key: list[str], value: str, out: str, max_len: int = 50_000):

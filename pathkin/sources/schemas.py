@@ -55,9 +55,9 @@ COLLECTIONS["CPS_RATING"] = (
 COLLECTIONS["USER_LIST_FOR_SIMILARITY"] = (
     T.StructType()
     .add("STD_NO", "string")
-    .add("SUBJECT_STAR", "array<double>")
-    .add("NCR_STAR", "array<double>")
-    .add("ACTING_COUNT", "array<int>")
+    .add("SUBJECT_STAR", T.ArrayType(T.DoubleType()))
+    .add("NCR_STAR", T.ArrayType(T.DoubleType()))
+    .add("ACTING_COUNT", T.ArrayType(T.IntegerType()))
 )
 
 # Header of the company rating file, in file order; the headcount heading is padded.

@@ -72,16 +72,19 @@ def insert_if_absent(
     order: list[Column],
     sink: str,
     checkpoint: str,
+    first_batch: int = 0,
 ) -> StreamingQuery:
     """Insert rows whose key is not in the sink yet; the earliest row of a batch wins.
 
     Each batch writes its own ``batch_id`` folder in overwrite mode and looks only
     at the folders of other batches, so a batch that is repeated after a failure
-    writes the same rows again.
+    writes the same rows again. A stream with a new checkpoint over an old sink
+    passes a ``first_batch`` above the stored batch numbers.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch_id += first_batch
         fresh = keep_last(batch, key, order)
         if _has_batches(spark, sink):
             stored = spark.read.schema(_sink_schema(batch)).parquet(sink)
