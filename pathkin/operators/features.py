@@ -30,12 +30,14 @@ UNKNOWN_AREA = "__unknown__"
 
 def members(domain: Domain) -> DataFrame:
     """dept, std_no: students with a completed course in the department."""
-    return domain.courses.select("dept", "std_no").distinct()
+    known = F.col("dept").isNotNull() & F.col("std_no").isNotNull()
+    return domain.courses.filter(known).select("dept", "std_no").distinct()
 
 
 def course_universe(domain: Domain) -> DataFrame:
     """dept, course: every course somebody of the department completed."""
-    return domain.courses.select("dept", "course").distinct()
+    known = F.col("dept").isNotNull() & F.col("course").isNotNull()
+    return domain.courses.filter(known).select("dept", "course").distinct()
 
 
 def cohort(domain: Domain, users: DataFrame, params: Params = Params()) -> DataFrame:

@@ -110,10 +110,13 @@ def interest_cascade(domain: Domain, users: DataFrame, params: Params = Params()
 def company_graduates(domain: Domain, chosen: DataFrame, keep: list[str] = []) -> DataFrame:
     """query_std, company, std_no: graduates of each chosen company.
 
-    ``chosen`` has one row per (std_no, company); columns named in ``keep`` ride along.
+    ``chosen`` has one row per (std_no, company); columns named in ``keep`` ride
+    along. The join multiplies rows, so the distinct pairs are placed by graduate
+    before it: what follows groups by graduate and then needs no further shuffle
+    where ``chosen`` is small enough to be broadcast.
     """
-    people = domain.graduates.select("std_no", "company").distinct()
+    people = domain.graduates.select("std_no", "company").distinct().repartition("std_no")
     chosen = chosen.select(F.col("std_no").alias("query_std"), "company", *keep)
-    return spread_join(people, chosen, ["company"], ["std_no"]).select(
+    return spread_join(people, chosen, ["company"], ["std_no"], buckets=4).select(
         "query_std", "company", "std_no", *keep
     )

@@ -17,6 +17,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # text files may come in EUC-KR
+        .config("spark.sql.legacy.javaCharsets", "true")
     )
     if master:
         builder = builder.master(master)
