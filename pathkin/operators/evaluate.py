@@ -159,15 +159,11 @@ def threshold_curve(df: DataFrame, score: str, label: str) -> DataFrame:
 
     A row counts as positive where its score reaches the threshold.
     """
-    cumulative = running_totals(
-        score_counts(df, score, label), F.col("score").desc(), {"pos": "tp", "neg": "fp"}
-    )
-    totals = df.agg(
-        F.count_if(F.col(label) == 1).cast("double").alias("p"),
-        F.count_if(F.col(label) != 1).cast("double").alias("n"),
-    )
-    curve = cumulative.withColumn("p", totals.select("p").scalar()).withColumn(
-        "n", totals.select("n").scalar()
+    curve = running_totals(
+        score_counts(df, score, label),
+        F.col("score").desc(),
+        {"pos": "tp", "neg": "fp"},
+        {"pos": "p", "neg": "n"},
     )
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
     return (

@@ -8,7 +8,7 @@ for the saved feature table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathkin.domain import Domain
@@ -211,7 +211,7 @@ def _every_course(domain: Domain) -> DataFrame:
     one array per department and is unfolded next to each student.
     """
     lists = course_universe(domain).groupBy("dept").agg(F.collect_list("course").alias("_list"))
-    return members(domain).join(lists, "dept").select(
+    return spread_join(members(domain), lists, ["dept"], ["std_no"]).select(
         "dept", "std_no", F.explode("_list").alias("course")
     )
 
@@ -229,26 +229,33 @@ def densify_courses(domain: Domain, params: Params = Params()) -> DataFrame:
     )
 
 
-def _dense(entries: DataFrame, people: DataFrame, universe: DataFrame, out: str, fill: float):
+def _dense(
+    entries: DataFrame,
+    people: DataFrame,
+    universe: DataFrame,
+    out: str,
+    fill: float,
+    extra: list[Column] | None = None,
+) -> DataFrame:
     """One array per student over the sorted features of the department.
 
     ``universe`` has dept, features (sorted array). A student's own entries form a
-    map no larger than that array.
+    map no larger than that array; ``extra`` adds sums over the same grouping.
+    Entries with ``feature`` null are left to ``extra``.
     """
+    entry = F.when(F.col("feature").isNotNull(), F.struct("feature", "value"))
     own = entries.groupBy("dept", "std_no").agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("_own")
+        F.map_from_entries(F.collect_list(entry)).alias("_own"), *(extra or [])
+    )
+    dense = F.transform(
+        F.coalesce("features", F.array().cast("array<string>")),
+        lambda f: F.coalesce(F.try_element_at("_own", f), F.lit(fill)),
     )
     return (
-        people.join(universe, "dept", "left")
+        spread_join(people, universe, ["dept"], ["std_no"], "left")
         .join(own, ["dept", "std_no"], "left")
-        .select(
-            "dept",
-            "std_no",
-            F.transform(
-                F.coalesce("features", F.array().cast("array<string>")),
-                lambda f: F.coalesce(F.try_element_at("_own", f), F.lit(fill)),
-            ).alias(out),
-        )
+        .withColumn(out, dense)
+        .drop("features", "_own")
     )
 
 
@@ -281,21 +288,17 @@ def area_vectors(domain: Domain, params: Params = Params()) -> DataFrame:
 def activity_vectors(domain: Domain, params: Params = Params()) -> DataFrame:
     """dept, std_no, ACTING_COUNT: three counts, then one flag per title."""
     entries = activity_entries(domain, params)
-    titles = entries.filter(F.col("kind") == TITLE).drop("kind")
-    flags = _dense(titles, members(domain), _feature_lists(titles), "_flags", params.fill)
-    counts = (
-        entries.filter(F.col("kind") == CODE)
-        .groupBy("dept", "std_no")
-        .agg(
-            *[
-                F.coalesce(F.max(F.when(F.col("feature") == code, F.col("value"))), F.lit(0.0))
-                .alias(f"_{code}")
-                for code in COUNT_CODES
-            ]
-        )
+    titles = entries.filter(F.col("kind") == TITLE)
+    counts = [
+        F.max(F.when((F.col("kind") == CODE) & (F.col("code") == c), F.col("value"))).alias(f"_{c}")
+        for c in COUNT_CODES
+    ]
+    split = entries.withColumn("code", F.col("feature")).withColumn(
+        "feature", F.when(F.col("kind") == TITLE, F.col("feature"))
     )
-    head = F.array(*[F.coalesce(f"_{code}", F.lit(0.0)) for code in COUNT_CODES])
-    return flags.join(counts, ["dept", "std_no"], "left").select(
+    dense = _dense(split, members(domain), _feature_lists(titles), "_flags", params.fill, counts)
+    head = F.array(*[F.coalesce(f"_{c}", F.lit(0.0)) for c in COUNT_CODES])
+    return dense.select(
         "dept",
         "std_no",
         F.concat(head, F.col("_flags")).cast("array<int>").alias("ACTING_COUNT"),

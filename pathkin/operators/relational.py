@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pathkin.session import shared_dir
+
 
 def spread_join(
     big: DataFrame,
@@ -94,31 +96,36 @@ def bounded_lists(df: DataFrame, key: list[str], value: str, out: str, max_len:
     )
 
 
-def running_totals(df: DataFrame, order: Column, sums: dict[str, str]) -> DataFrame:
+def running_totals(
+    df: DataFrame, order: Column, sums: dict[str, str], totals: dict[str, str] | None = None
+) -> DataFrame:
     """Whole-frame running sums in the given order, without a one-task window.
 
     ``df`` must be unique on the ordering column. Rows are range-partitioned into
     slabs and checkpointed once (slab numbers must not change under recomputation);
     sums run inside each slab and the totals of earlier slabs are added. The slab
-    table has one row per partition, whatever the data size.
+    table has one row per partition, whatever the data size. ``sums`` maps columns
+    to the names of their running sums, ``totals`` to the names of their full sums.
     """
-    from pathkin.session import shared_dir
-
     shared_dir(df.sparkSession)
-    slabs = (
-        df.repartitionByRange(order).withColumn("_slab", F.spark_partition_id()).checkpoint()
-    )
+    totals = totals or {}
+    slabs = df.repartitionByRange(order).withColumn("_slab", F.spark_partition_id()).checkpoint()
     earlier = Window.orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slabs.groupBy("_slab").agg(
-        *[F.sum(c).alias(f"_t_{c}") for c in sums]
+    whole = Window.orderBy("_slab").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    per_slab = slabs.groupBy("_slab").agg(
+        *[F.sum(c).alias(f"_t_{c}") for c in {*sums, *totals}]
     )
-    offsets = offsets.select(
+    offsets = per_slab.select(
         "_slab",
         *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums],
+        *[F.sum(f"_t_{c}").over(whole).alias(name) for c, name in totals.items()],
     )
     inside = Window.partitionBy("_slab").orderBy(order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = slabs.join(offsets, "_slab")
-    for column, name in sums.items():
-        out = out.withColumn(name, F.sum(column).over(inside) + F.col(f"_o_{column}"))
+    running = {
+        name: F.sum(column).over(inside) + F.col(f"_o_{column}") for column, name in sums.items()
+    }
+    out = slabs.join(offsets, "_slab").withColumns(running)
     return out.drop("_slab", *[f"_o_{c}" for c in sums])

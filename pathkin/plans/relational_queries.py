@@ -583,7 +583,8 @@ def array_positions(spark, sf):
         F.array_sort(F.collect_list("course")).alias("list")
     )
     taken = domain.courses.select("std_no", "dept", "course").distinct()
-    return taken.join(lists, "dept").select(
+    placed = rel.spread_join(taken, lists, ["dept"], ["std_no"])
+    return placed.select(
         "std_no", "dept", "course", (F.array_position("list", F.col("course")) - 1).alias("pos")
     )
 
