@@ -8,7 +8,7 @@ for the saved feature table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathkin.domain import Domain
@@ -92,15 +92,23 @@ def course_entries(domain: Domain, params: Params = Params()) -> DataFrame:
 def course_entries_three_state(domain: Domain, params: Params = Params()) -> DataFrame:
     """Star if rated, -1 if completed but not rated; all other courses mean 0.
 
-    Only students who rated some course appear, as in the earlier variant.
+    Only students who rated some course appear, as in the earlier variant. Stars
+    and completions are stacked and grouped once.
     """
     rated = course_entries(domain, params)
-    taken = domain.courses.select("dept", "std_no", F.col("course").alias("feature")).distinct()
-    silent = taken.join(rated.select("dept", "std_no", "feature"), ["dept", "std_no", "feature"],
-                        "left_anti")
-    raters = rated.select("dept", "std_no").distinct()
-    return rated.unionByName(
-        silent.join(raters, ["dept", "std_no"], "left_semi").withColumn("value", F.lit(-1.0))
+    taken = domain.courses.select(
+        "dept", "std_no", F.col("course").alias("feature"), F.lit(None).cast("double").alias("value")
+    )
+    merged = (
+        rated.unionByName(taken)
+        .groupBy("dept", "std_no", "feature")
+        .agg(F.max("value").alias("value"))
+    )
+    own = Window.partitionBy("dept", "std_no")
+    return (
+        merged.withColumn("_stars", F.count("value").over(own))
+        .filter(F.col("_stars") > 0)
+        .select("dept", "std_no", "feature", F.coalesce("value", F.lit(-1.0)).alias("value"))
     )
 
 
@@ -231,7 +239,7 @@ def densify_courses(domain: Domain, params: Params = Params()) -> DataFrame:
 
 def _dense(
     entries: DataFrame,
-    people: DataFrame,
+    people: DataFrame | None,
     universe: DataFrame,
     out: str,
     fill: float,
@@ -241,7 +249,8 @@ def _dense(
 
     ``universe`` has dept, features (sorted array). A student's own entries form a
     map no larger than that array; ``extra`` adds sums over the same grouping.
-    Entries with ``feature`` null are left to ``extra``.
+    Entries with ``feature`` null are left to ``extra``. Without ``people`` only
+    students with entries get a row.
     """
     entry = F.when(F.col("feature").isNotNull(), F.struct("feature", "value"))
     own = entries.groupBy("dept", "std_no").agg(
@@ -251,9 +260,9 @@ def _dense(
         F.coalesce("features", F.array().cast("array<string>")),
         lambda f: F.coalesce(F.try_element_at("_own", f), F.lit(fill)),
     )
+    rows = own if people is None else people.join(own, ["dept", "std_no"], "left")
     return (
-        spread_join(people, universe, ["dept"], ["std_no"], "left")
-        .join(own, ["dept", "std_no"], "left")
+        spread_join(rows, universe, ["dept"], ["std_no"], "left")
         .withColumn(out, dense)
         .drop("features", "_own")
     )
@@ -273,8 +282,7 @@ def course_vectors(domain: Domain, params: Params = Params(), three_state: bool
     universe = _feature_lists(course_universe(domain).withColumnRenamed("course", "feature"))
     if three_state:
         entries = course_entries_three_state(domain, params)
-        people = entries.select("dept", "std_no").distinct()
-        return _dense(entries, people, universe, "SUBJECT_STAR", 0.0)
+        return _dense(entries, None, universe, "SUBJECT_STAR", 0.0)
     entries = course_entries(domain, params)
     return _dense(entries, members(domain), universe, "SUBJECT_STAR", params.fill)
 
