@@ -243,8 +243,7 @@ def mean_participation(spark, sf):
 
 def _result(spark, sf, params: Params = Params()):
     domain, asking = _asking(spark, sf)
-    out = rc.recommend(domain, asking, params)
-    return out.withColumn("Rank", F.col("Rank").cast("bigint"))
+    return rc.recommend(domain, asking, params)
 
 
 @query

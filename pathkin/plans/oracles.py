@@ -178,11 +178,11 @@ VIEWS: dict[str, str] = {
         USING (query_std, std_no)""",
     "near": """
         SELECT query_std, std_no, score, rank, count(*) OVER (PARTITION BY query_std) AS k
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_std ORDER BY score DESC, std_no) AS rank
+        FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_std ORDER BY score DESC, std_no) AS INTEGER) AS rank
               FROM blended WHERE query_std <> std_no) WHERE rank <= 10""",
     "near_self": """
         SELECT query_std, std_no, score, rank, count(*) OVER (PARTITION BY query_std) AS k
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_std ORDER BY score DESC, std_no) AS rank
+        FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_std ORDER BY score DESC, std_no) AS INTEGER) AS rank
               FROM blended) WHERE rank <= 10""",
     "employer_trust": """
         SELECT query_std, std_no, company,
@@ -190,8 +190,8 @@ VIEWS: dict[str, str] = {
         FROM asked_trust JOIN act_counts USING (std_no)""",
     "near_first": """
         SELECT query_std, std_no, rank, count(*) OVER (PARTITION BY query_std) AS k
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_std
-                                           ORDER BY score DESC, std_no, company NULLS FIRST) AS rank
+        FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_std
+                                           ORDER BY score DESC, std_no, company NULLS FIRST) AS INTEGER) AS rank
               FROM (SELECT query_std, std_no, company,
                            coalesce(similarity, 0e0) * 5e-1 + coalesce(trust, 0e0) * 5e-1 AS score
                     FROM employer_trust FULL JOIN likeness USING (query_std, std_no)))
@@ -213,7 +213,7 @@ VIEWS: dict[str, str] = {
         FROM near JOIN doings USING (std_no) GROUP BY ALL""",
     "ranked": """
         SELECT * FROM (
-            SELECT *, row_number() OVER (PARTITION BY query_std, what ORDER BY score DESC, item) AS rank
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_std, what ORDER BY score DESC, item) AS INTEGER) AS rank
             FROM (SELECT c.query_std, c.what, c.item, c.n, c.k,
                          c.n * CASE WHEN c.what IN ('course', 'programme') THEN coalesce(s.star, 1e0)
                                ELSE 1e0 END AS score
@@ -222,7 +222,7 @@ VIEWS: dict[str, str] = {
                                     AND o.what = c.what AND o.item = c.item)))
         WHERE rank <= 10""",
     "ranked_self": """
-        SELECT *, row_number() OVER (PARTITION BY query_std, what ORDER BY score DESC, item) AS rank
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_std, what ORDER BY score DESC, item) AS INTEGER) AS rank
         FROM (SELECT c.query_std, c.what, c.item, c.left_over AS n,
                      c.left_over * coalesce(s.star, 1e0) AS score
               FROM (SELECT query_std, what, item,
@@ -232,7 +232,7 @@ VIEWS: dict[str, str] = {
                     WHERE what = 'course' GROUP BY ALL) c
               LEFT JOIN stars s USING (item) WHERE c.left_over > 0)""",
     "ranked_first": """
-        SELECT *, row_number() OVER (PARTITION BY query_std, what ORDER BY score DESC, item) AS rank
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_std, what ORDER BY score DESC, item) AS INTEGER) AS rank
         FROM (SELECT c.query_std, c.what, c.item, c.left_over AS n, c.k,
                      c.left_over * CASE WHEN c.what IN ('course', 'programme')
                                    THEN coalesce(s.star, 1e0) ELSE 1e0 END AS score
@@ -244,7 +244,7 @@ VIEWS: dict[str, str] = {
     # evaluation
     "popular": """
         SELECT * FROM (SELECT dept, course AS item, count(*) AS n,
-                              row_number() OVER (PARTITION BY dept ORDER BY count(*) DESC, course) AS rank
+                              CAST(row_number() OVER (PARTITION BY dept ORDER BY count(*) DESC, course) AS INTEGER) AS rank
                        FROM taken GROUP BY dept, course) WHERE rank <= 30""",
     "docs": """
         SELECT quality AS label, toxic AS prediction, n_chars
@@ -312,7 +312,7 @@ SQL: dict[str, str] = {
     "user_attributes": "SELECT std_no, dept, gender FROM students JOIN asking USING (std_no)",
     "missing_user": "SELECT count(*) AS n FROM students WHERE std_no = 'no such student'",
     "first_students": """
-        SELECT * FROM (SELECT dept, std_no, row_number() OVER (PARTITION BY dept ORDER BY std_no) AS rank
+        SELECT * FROM (SELECT dept, std_no, CAST(row_number() OVER (PARTITION BY dept ORDER BY std_no) AS INTEGER) AS rank
                        FROM students) WHERE rank <= 5""",
     "collection_roundtrip": """
         SELECT dept, 2 * count(*) AS n, 'raw' AS namespace FROM students GROUP BY dept
@@ -398,13 +398,13 @@ SQL: dict[str, str] = {
     # order, rank, set operations
     "rank_items": """
         SELECT dept, course, count(*) AS n,
-               row_number() OVER (PARTITION BY dept ORDER BY count(*) DESC, course) AS rank
+               CAST(row_number() OVER (PARTITION BY dept ORDER BY count(*) DESC, course) AS INTEGER) AS rank
         FROM courses GROUP BY dept, course""",
     "sort_orders": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
                       ORDER BY o_totalprice DESC, o_orderkey""",
     "topk_people": """
         SELECT * FROM (SELECT dept, std_no, count(*) AS n,
-                              row_number() OVER (PARTITION BY dept ORDER BY count(*) DESC, std_no) AS rank
+                              CAST(row_number() OVER (PARTITION BY dept ORDER BY count(*) DESC, std_no) AS INTEGER) AS rank
                        FROM courses GROUP BY dept, std_no) WHERE rank <= 10""",
     "union_by_name": """
         SELECT std_no, what, count(*) AS n
@@ -463,14 +463,14 @@ SQL: dict[str, str] = {
         FROM embeddings v
         JOIN (SELECT label, arg_min(embedding, vec_id) AS first FROM embeddings GROUP BY label) f USING (label)""",
     # registers
-    "dept_students": """SELECT dept, 0 AS part, string_agg(std_no, ',' ORDER BY std_no) AS people
+    "dept_students": """SELECT dept, CAST(0 AS BIGINT) AS part, string_agg(std_no, ',' ORDER BY std_no) AS people
                         FROM students GROUP BY dept""",
     "dept_courses": "SELECT dept, course FROM universe",
     "college_departments": """
         SELECT CAST(n_regionkey AS VARCHAR) AS college,
                string_agg(CAST(n_nationkey AS VARCHAR), ',' ORDER BY CAST(n_nationkey AS VARCHAR)) AS depts
         FROM nation GROUP BY 1""",
-    "company_graduate_lists": """SELECT company, 0 AS part, string_agg(std_no, ',' ORDER BY std_no) AS people
+    "company_graduate_lists": """SELECT company, CAST(0 AS BIGINT) AS part, string_agg(std_no, ',' ORDER BY std_no) AS people
                                  FROM grads GROUP BY company""",
     # interest
     "interest_applied": """SELECT std_no, strftime(reg_date, '%Y-%m-%d %H:%M:%S') AS reg_date, company FROM sent""",
@@ -541,7 +541,7 @@ SQL: dict[str, str] = {
     "ground_truth": "SELECT dept, item, n, rank FROM popular",
     "ground_truth_programmes": """
         SELECT * FROM (SELECT dept, programme AS item, count(*) AS n,
-                              row_number() OVER (PARTITION BY dept ORDER BY count(*) DESC, programme) AS rank
+                              CAST(row_number() OVER (PARTITION BY dept ORDER BY count(*) DESC, programme) AS INTEGER) AS rank
                        FROM (SELECT DISTINCT * FROM enrolments WHERE state = 'NCR_T07_P05')
                        JOIN members USING (std_no) GROUP BY dept, programme) WHERE rank <= 30""",
     "eval_prf": """
@@ -559,8 +559,8 @@ SQL: dict[str, str] = {
                           GROUP BY ALL) GROUP BY query_std))""",
     "confusion_counts": "SELECT label, prediction, n FROM cells",
     "confusion_matrix": """
-        SELECT label, coalesce(sum(n) FILTER (prediction = 0), 0) AS pred_0,
-               coalesce(sum(n) FILTER (prediction = 1), 0) AS pred_1 FROM cells GROUP BY label""",
+        SELECT label, CAST(coalesce(sum(n) FILTER (prediction = 0), 0) AS BIGINT) AS pred_0,
+               CAST(coalesce(sum(n) FILTER (prediction = 1), 0) AS BIGINT) AS pred_1 FROM cells GROUP BY label""",
     "per_label_metrics": """
         SELECT label, actual, tp, total, round(precision, 6) AS precision, round(recall, 6) AS recall,
                round(fpr, 6) AS fpr, round(f1, 6) AS f1 FROM label_scores""",
@@ -585,7 +585,7 @@ SQL: dict[str, str] = {
     "rmse": """SELECT round(sqrt(avg((r.star - s.star) * (r.star - s.star))), 6) AS rmse
                FROM ratings r JOIN stars s USING (item)""",
     # models and streams
-    "random_split_sizes": """SELECT count(*) AS n_rows, 1 AS max_copies
+    "random_split_sizes": """SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS max_copies
                              FROM (SELECT DISTINCT std_no, item FROM ratings)""",
     "stream_ingest": """
         SELECT event_id, strftime(ts, '%d-%b-%Y (%H:%M:%S.%f)') AS reg_text, event_type FROM events""",

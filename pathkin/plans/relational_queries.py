@@ -545,7 +545,7 @@ def lob_text(spark, sf):
     """Binary large objects decoded to text."""
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("lob"))
     text = F.decode("lob", "UTF-8")
-    return docs.select("doc_id", F.length(text).alias("n_chars"), F.md5(text).alias("digest"))
+    return docs.select("doc_id", F.length(text).cast("bigint").alias("n_chars"), F.md5(text).alias("digest"))
 
 
 @query

@@ -53,3 +53,18 @@ def difference(df, con, sql: str) -> str | None:
         if a != b:
             return f"{a} != {b}"
     return None
+
+
+# DuckDB type to the Spark type the driver may expect for it
+_KINDS = {
+    "VARCHAR": "string",
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+}
+
+
+def type_differences(df, con, sql: str) -> list[str]:
+    want = {r[0]: _KINDS.get(r[1], r[1]) for r in con.execute("DESCRIBE " + sql).fetchall()}
+    return [f"{n}: {t}, twin {want.get(n)}" for n, t in df.dtypes if t != want.get(n)]

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from compare import connect, difference
+from compare import connect, difference, type_differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SQL = entry.oracle_sql()
@@ -23,7 +23,9 @@ def test_every_twin_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows(spark, con, name):
-    assert difference(QUERIES[name](spark, SF_DIR), con, SQL[name]) is None
+    df = QUERIES[name](spark, SF_DIR)
+    assert difference(df, con, SQL[name]) is None
+    assert type_differences(df, con, SQL[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
