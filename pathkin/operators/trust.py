@@ -42,7 +42,7 @@ def company_trust(domain: Domain, users: DataFrame, params: Params = Params()) -
     chosen = rate_employers(
         interest_cascade(domain, users, params), domain.company_ratings, params
     )
-    return company_graduates(domain, chosen, ["company_trust"])
+    return company_graduates(domain, chosen, ["company_trust"], by_graduate=True)
 
 
 def content_trust(domain: Domain) -> DataFrame:
