@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pathkin.llm import packing
+from pathkin.llm import ann, bsi, packing, transducer
 
 QUERIES = {
+    "op1_bit_sliced_topk": bsi.op1_bit_sliced_topk,
+    "op5_adaptive_dimension_scan": ann.op5_adaptive_dimension_scan,
     "op8_cost_balanced_packing": packing.op8_cost_balanced_packing,
+    "op9_transducer_bpe": transducer.op9_transducer_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op1_bit_sliced_topk": bsi.OP1_SQL}
