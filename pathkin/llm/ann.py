@@ -7,7 +7,7 @@ is stored in chunks of ``chunk_rows``, each as column blocks. A query probes its
 nearest lists. In a chunk the partial distance over the first column blocks is
 tested: a candidate is abandoned once ``partial * dims / seen`` exceeds
 ``limit * (1 + epsilon / sqrt(seen)) ** 2``, where the limit is the k-th best exact
-distance among the candidates that look nearest after the first block. What is
+distance among the candidates that look nearest after the first block (16 k of them). What is
 left is scored by its exact cosine on the original vectors.
 
 Lists are at most ``max_lists``, so centres and chunk counts have a fixed bound.
@@ -49,15 +49,15 @@ def scan(blocks: list[np.ndarray], query: np.ndarray, k: int, epsilon: float) ->
     seen = len(blocks[0])
     if len(rows) <= k:
         return rows
-    first = np.argpartition(partial, k - 1)[:k]
+    trial = min(len(rows), 16 * k)
+    first = np.argpartition(partial, trial - 1)[:trial]
     exact, at = partial[first].copy(), seen
     for block in blocks[1:]:
         exact += ((block[:, first] - query[at : at + len(block), None]) ** 2).sum(axis=0)
         at += len(block)
-    limit = exact.max()
+    limit = np.partition(exact, k - 1)[k - 1]
     for block in blocks[1:]:
         keep = partial * (dims / seen) <= limit * (1 + epsilon / math.sqrt(seen)) ** 2
-        keep[np.isin(rows, first)] = True
         rows, partial = rows[keep], partial[keep]
         partial = partial + ((block[:, rows] - query[seen : seen + len(block), None]) ** 2).sum(axis=0)
         seen += len(block)
@@ -85,7 +85,7 @@ def nearest(
     vectors: DataFrame,
     queries: DataFrame,
     k: int,
-    probe_share: float = 0.35,
+    probe_share: float = 0.6,
     sample_rows: int = 8192,
     max_lists: int = 4096,
     chunk_rows: int = 4096,

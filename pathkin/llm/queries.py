@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pathkin.llm import ann, bsi, packing, transducer
+from pathkin.llm import ann, bsi, packing, pii, secrets, transducer
 
 QUERIES = {
     "op1_bit_sliced_topk": bsi.op1_bit_sliced_topk,
+    "op2_secret_ownership": secrets.op2_secret_ownership,
     "op5_adaptive_dimension_scan": ann.op5_adaptive_dimension_scan,
     "op8_cost_balanced_packing": packing.op8_cost_balanced_packing,
     "op9_transducer_bpe": transducer.op9_transducer_bpe,
+    "op10_boosted_pii": pii.op10_boosted_pii,
 }
 
 SQL = {"op1_bit_sliced_topk": bsi.OP1_SQL}
