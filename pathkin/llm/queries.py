@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pathkin.llm import ann, bsi, packing, pii, secrets, transducer
+from pathkin.llm import ann, bsi, packing, pii, quality, secrets, toxicity, transducer
 
 QUERIES = {
     "op1_bit_sliced_topk": bsi.op1_bit_sliced_topk,
     "op2_secret_ownership": secrets.op2_secret_ownership,
+    "op3_subsequence_toxicity": toxicity.op3_subsequence_toxicity,
+    "op4_rule_ensemble": quality.op4_rule_ensemble,
     "op5_adaptive_dimension_scan": ann.op5_adaptive_dimension_scan,
     "op8_cost_balanced_packing": packing.op8_cost_balanced_packing,
     "op9_transducer_bpe": transducer.op9_transducer_bpe,
