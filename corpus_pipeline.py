@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pathkin.llm import packing
+from pathkin.llm import neardup, packing, quality, secrets, toxicity
 from pathkin.session import scratch_path
 
 STAGES = [
+    ("quality", quality.stage),
+    ("toxicity", toxicity.stage),
+    ("neardup", neardup.stage),
+    ("secrets", secrets.stage),
     ("packing", packing.stage),
 ]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pathkin.llm import ann, bsi, packing, pii, quality, secrets, toxicity, transducer
+from pathkin.llm import ann, bsi, licenses, neardup, packing, pii, quality, secrets, toxicity, transducer
 
 QUERIES = {
     "op1_bit_sliced_topk": bsi.op1_bit_sliced_topk,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_subsequence_toxicity": toxicity.op3_subsequence_toxicity,
     "op4_rule_ensemble": quality.op4_rule_ensemble,
     "op5_adaptive_dimension_scan": ann.op5_adaptive_dimension_scan,
+    "op6_consistent_weighted_dedup": neardup.op6_consistent_weighted_dedup,
+    "op7_patience_licenses": licenses.op7_patience_licenses,
     "op8_cost_balanced_packing": packing.op8_cost_balanced_packing,
     "op9_transducer_bpe": transducer.op9_transducer_bpe,
     "op10_boosted_pii": pii.op10_boosted_pii,

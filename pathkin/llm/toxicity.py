@@ -1,8 +1,8 @@
 """Toxicity by a subsequence string kernel with Nystrom landmarks and a linear machine.
 
 The kernel of two strings counts common subsequences of ``order`` characters, each
-gap shrinking a match by ``decay``; it is normalised to one for equal strings. So a
-word with dots, blanks or other characters put between its letters stays close to
+gap shrinking a match by ``decay``; it is normalised to one for equal strings and
+sharpened to ``exp((k - 1) / spread)``, a Gaussian of the kernel's distance. So a word with dots, blanks or other characters put between its letters stays close to
 the word itself. A unit is a blank-separated word in lower case; a run of single
 characters is joined to one unit, and a long unit is read in overlapping windows,
 so texts are processed whole.
@@ -55,7 +55,8 @@ def units(text: str) -> set[str]:
 class Kernel:
     """Subsequence kernel of many words against fixed landmarks."""
 
-    def __init__(self, landmarks: list[str], order: int = 3, decay: float = 0.6):
+    def __init__(self, landmarks: list[str], order: int = 3, decay: float = 0.6, spread: float = 0.15):
+        self.spread = spread
         self.landmarks, self.order, self.decay = landmarks, order, decay
         self.width = max(map(len, landmarks))
         alphabet = sorted(set("".join(landmarks)))
@@ -117,7 +118,8 @@ class Kernel:
             codes = np.array([self._encode(words[i]) for i in mine])
             cross = self._run(self.same[codes[:, i]] for i in range(n))
             own = self._self(np.array([self._encode_any(words[i]) for i in mine]))
-            out[mine] = cross / (np.sqrt(own)[:, None] * self.own)
+            alike = cross / (np.sqrt(own)[:, None] * self.own)
+            out[mine] = np.exp((alike - 1) / self.spread)
         return out
 
 
@@ -157,25 +159,35 @@ class Model:
         negative = usual[:3000] + close
         chosen = [max(b, key=lambda u: (telling[u], u)) for b in bags if b]
         x_neg = self._features(negative)
-        for _ in range(2):
+        clean_bags = [b for b in map(units, clean) if b]
+        every = sorted(clean_units)
+        for _ in range(3):
             positive = [u for u in chosen if telling[u] > 0] or chosen
-            x = np.vstack([self._features(positive), x_neg])
+            x = np.vstack([self._features(positive), self._features(negative)])
             y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-            cost = np.r_[np.full(len(positive), 10.0), np.full(len(negative), 10.0 * max(1, len(positive)) / max(1, len(negative)))]
+            cost = np.r_[np.full(len(positive), 1.0), np.full(len(negative), 10.0)]
             self.weights = squared_hinge(x, y, cost)
+            # the clean units nearest to the margin become negatives, and bags choose anew
+            decided = dict(zip(every, self.decisions(every).tolist()))
+            hard = sorted(every, key=lambda u: (-decided[u], u))[:1500]
+            negative = list(dict.fromkeys(negative + hard))
             chosen = []
             for b in bags:
                 if b:
                     near = sorted(b, key=lambda u: (-telling[u], u))[:5]
                     chosen.append(near[int(np.argmax(self.decisions(near)))])
-        self.line = 4.0
+        top = [max(decided[u] for u in b) for b in clean_bags] or [-1.0]
+        bad = [float(self.decisions(sorted(b)).max()) for b in bags if b] or [1.0]
+        # the cut lies between what clean texts reach and what toxic texts reach
+        self.middle = (float(np.quantile(top, 0.995)) + float(np.quantile(bad, 0.05))) / 2
+        self.line = 8.0
 
     def _features(self, words: list[str]) -> np.ndarray:
         x = self.kernel.values(words).astype(float) @ self.root
         return np.hstack([x, np.ones((len(x), 1))])
 
     def decisions(self, words: list[str]) -> np.ndarray:
-        return self._features(words) @ self.weights
+        return self._features(words) @ self.weights if words else np.zeros(0)
 
     def scores(self, texts: list[str], known: dict[str, float], keep: int = 400_000) -> list[float]:
         bags = [units(t) for t in texts]
@@ -184,7 +196,7 @@ class Model:
         out = []
         for bag in bags:
             best = max((known[u] if u in known else fresh[u] for u in bag), default=-1.0)
-            out.append(1 / (1 + math.exp(-self.line * max(-20.0, min(20.0, best)))))
+            out.append(1 / (1 + math.exp(-self.line * max(-20.0, min(20.0, best - self.middle)))))
         if len(known) < keep:
             known.update(fresh)
         return out
