@@ -34,7 +34,7 @@ from pathkin.llm.base import DOC_COLUMNS, fold, labelled_sample, ship, table, wh
 
 WINDOW, STEP = 24, 12
 _SPACED = re.compile(r"(?<!\S)\S(?:\s\S)+(?!\S)")
-_EDGE = ".,;:!?\"'()[]"
+_EDGE = re.compile(r"^\W+|\W+$")
 
 
 def units(text: str) -> set[str]:
@@ -43,19 +43,25 @@ def units(text: str) -> set[str]:
     words.update(re.sub(r"\s", "", run) for run in _SPACED.findall(text))
     out = set()
     for word in words:
-        word = word.strip(_EDGE)
+        word = _EDGE.sub("", word)
+        if len(word) > 2:
+            word = "^" + word  # where a word begins tells, too
         if len(word) <= WINDOW:
-            if len(word) > 2:
+            if len(word) > 3:
                 out.add(word)
         else:
             out.update(word[at : at + WINDOW] for at in range(0, len(word) - STEP, STEP))
     return out
 
 
+def parts(unit: str, n: int = 5) -> set[str]:
+    return {unit[i : i + n] for i in range(max(1, len(unit) - n + 1))}
+
+
 class Kernel:
     """Subsequence kernel of many words against fixed landmarks."""
 
-    def __init__(self, landmarks: list[str], order: int = 3, decay: float = 0.6, spread: float = 0.15):
+    def __init__(self, landmarks: list[str], order: int = 3, decay: float = 0.6, spread: float = 0.3):
         self.spread = spread
         self.landmarks, self.order, self.decay = landmarks, order, decay
         self.width = max(map(len, landmarks))
@@ -105,7 +111,10 @@ class Kernel:
         self.before = kept
         return np.maximum(out, 1e-12)
 
-    def values(self, words: list[str], chunk: int = 512) -> np.ndarray:
+    def values(self, words: list[str]) -> np.ndarray:
+        return np.exp((self.alike(words) - 1) / self.spread)
+
+    def alike(self, words: list[str], chunk: int = 512) -> np.ndarray:
         out = np.zeros((len(words), len(self.landmarks)), dtype=np.float32)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
         at = 0
@@ -118,8 +127,7 @@ class Kernel:
             codes = np.array([self._encode(words[i]) for i in mine])
             cross = self._run(self.same[codes[:, i]] for i in range(n))
             own = self._self(np.array([self._encode_any(words[i]) for i in mine]))
-            alike = cross / (np.sqrt(own)[:, None] * self.own)
-            out[mine] = np.exp((alike - 1) / self.spread)
+            out[mine] = cross / (np.sqrt(own)[:, None] * self.own)
         return out
 
 
@@ -144,17 +152,27 @@ class Model:
         seen = Counter(u for b in bags for u in b)
         clean_units = Counter(u for t in clean for u in units(t))
         share = len(toxic) / max(1, len(clean))
-        telling = {u: n - 3 * share * clean_units[u] - 1 for u, n in seen.items()}
-        ranked = sorted((u for u in seen if telling[u] > 0), key=lambda u: (-telling[u], u))
+        # inflected words are rare one by one: a unit tells as much as its best part does
+        in_toxic = Counter(p for b in bags for p in {p for u in b for p in parts(u)})
+        in_clean = Counter(p for t in clean for p in {p for u in units(t) for p in parts(u)})
+        telling = {
+            u: max(in_toxic[p] - 3 * share * in_clean[p] for p in parts(u)) - 2 for u in seen
+        }
+        ranked = sorted((u for u in seen if telling[u] > 0), key=lambda u: (-telling[u], -seen[u], u))
         usual = sorted(clean_units, key=lambda u: (-clean_units[u], u))
-        marks = (ranked[: landmarks * 2 // 3] + usual[: landmarks // 3]) or ["---"]
+        # telling units unlike each other, so that every stem has a landmark
+        mine: list[str] = []
+        for u in ranked[:2000]:
+            if len(mine) < landmarks * 2 // 3 and not (mine and Kernel(mine).alike([u]).max() > 0.5):
+                mine.append(u)
+        marks = (mine + usual[: landmarks // 3]) or ["---"]
         self.kernel = Kernel([m for m in dict.fromkeys(marks)])
         gram = self.kernel.values(self.kernel.landmarks).astype(float)
         values, vectors = np.linalg.eigh((gram + gram.T) / 2)
         self.root = vectors / np.sqrt(np.maximum(values, 1e-3))
         # sentences of clean texts by their units: frequent ones, and those most like a landmark
         rare = sorted(set(clean_units) - set(usual[:3000]), key=lambda u: hash_of(u))[:20_000]
-        near = self.kernel.values(rare)[:, : max(1, len(ranked[: landmarks * 2 // 3]))].max(axis=1) if rare else []
+        near = self.kernel.values(rare)[:, : max(1, len(mine))].max(axis=1) if rare else []
         close = [rare[i] for i in np.argsort(-np.asarray(near))[:3000]]
         negative = usual[:3000] + close
         chosen = [max(b, key=lambda u: (telling[u], u)) for b in bags if b]
@@ -208,7 +226,7 @@ def hash_of(word: str) -> int:
     return zlib.crc32(word.encode())
 
 
-def fit(spark: SparkSession, sf_dir: str, sample: int = 1500, max_chars: int = 20_000) -> Model | None:
+def fit(spark: SparkSession, sf_dir: str, sample: int = 1000, max_chars: int = 20_000) -> Model | None:
     """Learned from at most ``sample`` rows of each label, of ``max_chars`` characters at most."""
     rows = labelled_sample(spark, sf_dir, "toxic", sample, max_chars).orderBy("doc_id").collect()
     toxic = [r.text for r in rows if r.label == 1]
