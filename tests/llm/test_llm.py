@@ -121,7 +121,7 @@ def test_secret_spans(spark):
     found = secrets.scan(docs, ["doc_id"], *secrets._owner(docs)).collect()
     kinds = {r.doc_id: [(s.kind, s.at, s.end) for s in r.spans_] for r in found}
     assert kinds == {
-        0: [("assign", 2, 23)], 1: [("access", 14, 34)], 2: [("hex", 0, 32)], 3: [("live", 0, 40)], 4: [], 5: [],
+        0: [("assign", 2, 22)], 1: [("access", 14, 34)], 2: [("hex", 0, 32)], 3: [("live", 0, 40)], 4: [], 5: [],
         6: [("assign", 0, 49), ("hex", 9, 49)],
     }
     cleaned = {r.doc_id: r.text for r in secrets.stage(spark, docs, SF).collect()}
