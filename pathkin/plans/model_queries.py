@@ -140,9 +140,5 @@ def stream_insert_if_absent(spark, sf):
     order = [F.col("REG_DATE"), F.col("event_id")]
     for attempt in range(2):
         rows = stores.from_messages(_message_stream(spark, sf), MESSAGE)
-        _run(
-            st.insert_if_absent(
-                rows, ["user_id"], order, sink, f"{sink}-{attempt}", first_batch=attempt * 1_000_000
-            )
-        )
+        _run(st.insert_if_absent(rows, ["user_id"], order, sink, f"{sink}-{attempt}"))
     return spark.read.parquet(sink).select("user_id", "event_id", "event_type")

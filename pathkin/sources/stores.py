@@ -169,6 +169,17 @@ def from_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def rejected_messages(messages: DataFrame, schema: T.StructType, key: list[str]) -> DataFrame:
+    """Non-empty messages that are no JSON object or lack a key column's value."""
+    keys = T.StructType([T.StructField(k, schema[k].dataType) for k in key])
+    parsed = F.from_json(F.col("value").cast("string"), keys)
+    missing = [parsed[k].isNull() for k in key]
+    lacks = missing[0]
+    for m in missing[1:]:
+        lacks = lacks | m
+    return messages.filter(F.col("value").isNotNull() & ~F.trim("value").isin("", "null", "{}")).filter(lacks)
+
+
 def publish(df: DataFrame, target: str, fmt: str = "text", topic: str | None = None, **options):
     """Write messages to files, or to a topic with ``fmt="kafka"``."""
     writer = to_messages(df).write.format(fmt).mode("append").options(**options)

@@ -72,25 +72,29 @@ def insert_if_absent(
     order: list[Column],
     sink: str,
     checkpoint: str,
-    first_batch: int = 0,
 ) -> StreamingQuery:
     """Insert rows whose key is not in the sink yet; the earliest row of a batch wins.
 
-    Each batch writes its own ``batch_id`` folder in overwrite mode and looks only
-    at the folders of other batches, so a batch that is repeated after a failure
-    writes the same rows again. A stream with a new checkpoint over an old sink
-    passes a ``first_batch`` above the stored batch numbers.
+    Each batch writes its own ``batch`` folder in overwrite mode and looks only at
+    other folders, so a batch that is repeated after a failure writes the same rows
+    again. The folder is named by the stream's id, which Spark keeps in the
+    checkpoint, and the batch number: a stream with a new checkpoint has a new id and
+    never writes over what another stream has stored.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch_id += first_batch
-        fresh = keep_last(batch, key, order)
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream_id:
+            raise RuntimeError("the batch doesn't belong to a stream with an id")
+        name = f"{stream_id}_{batch_id}"
+        # a row without a key can't be looked for; see rejected_messages
+        fresh = keep_last(batch.dropna(subset=key), key, order)
         if _has_batches(spark, sink):
             stored = spark.read.schema(_sink_schema(batch)).parquet(sink)
-            known = stored.filter(F.col("batch_id") != batch_id).select(*key)
+            known = stored.filter(F.col("batch") != name).select(*key)
             fresh = fresh.join(known, key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        fresh.write.mode("overwrite").parquet(f"{sink}/batch={name}")
 
     return foreach_batch(rows, write, checkpoint)
 
@@ -107,7 +111,7 @@ def foreach_batch(
 
 
 def _sink_schema(batch: DataFrame) -> T.StructType:
-    return T.StructType(list(batch.schema.fields) + [T.StructField("batch_id", T.LongType())])
+    return T.StructType(list(batch.schema.fields) + [T.StructField("batch", T.StringType())])
 
 
 def _has_batches(spark: SparkSession, sink: str) -> bool:

@@ -113,10 +113,10 @@ def test_insert_if_absent(spark, tmp_path):
     _put(src, "1.json", [_message("a", n=2), _message("a", n=1), _message("b", n=3)])
     order = [F.col("N")]
 
-    def run(checkpoint, first_batch=0):
+    def run(checkpoint):
         parsed = stores.from_messages(st.file_messages(spark, str(src), 1), SCHEMA)
         st.insert_if_absent(
-            parsed, ["STD_NO"], order, sink, str(tmp_path / checkpoint), first_batch
+            parsed, ["STD_NO"], order, sink, str(tmp_path / checkpoint)
         ).awaitTermination()
         return rows(spark.read.parquet(sink), "STD_NO", "N")
 
@@ -124,7 +124,24 @@ def test_insert_if_absent(spark, tmp_path):
     _put(src, "2.json", [_message("a", n=0), _message("c", n=4)])
     assert run("cp") == [("a", 1), ("b", 3), ("c", 4)]
     assert run("cp") == [("a", 1), ("b", 3), ("c", 4)]
-    assert run("fresh-cp", 100) == [("a", 1), ("b", 3), ("c", 4)]
+    assert run("fresh-cp") == [("a", 1), ("b", 3), ("c", 4)]
+
+
+def test_new_checkpoint_over_an_old_sink_keeps_stored_rows(spark, tmp_path):
+    sink = str(tmp_path / "sink")
+    for i, names in enumerate((["a", "b"], ["c", "a"])):
+        _put(tmp_path / f"in{i}", "1.json", [_message(n, n=i) for n in names] + ["not json", ""])
+        parsed = stores.from_messages(st.file_messages(spark, str(tmp_path / f"in{i}")), SCHEMA)
+        checkpoint = str(tmp_path / f"cp{i}")
+        st.insert_if_absent(parsed, ["STD_NO"], [F.col("N")], sink, checkpoint).awaitTermination()
+    assert rows(spark.read.parquet(sink), "STD_NO", "N") == [("a", 0), ("b", 0), ("c", 1)]
+
+
+def test_rejected_messages(spark):
+    values = [_message("a", n=1), "not json", "", None, "{}", '{"N": 3}']
+    messages = spark.createDataFrame([(v,) for v in values], "value string")
+    bad = stores.rejected_messages(messages, SCHEMA, ["STD_NO"])
+    assert sorted(r.value for r in bad.collect()) == sorted(["not json", '{"N": 3}'])
 
 
 def test_repeated_batch_writes_the_same_rows(spark, tmp_path):
