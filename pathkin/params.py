@@ -44,5 +44,9 @@ class Params:
 
     @staticmethod
     def as_first_run() -> "Params":
-        """Switches that reproduce the original run, quirks included."""
+        """Switches that reproduce the original run's quirks, but for two.
+
+        Several stars for one item stay a mean, not the first met, and the activity
+        score covers everyone, not five students.
+        """
         return Params(exclude="multiset", include_self=True, trust_agg="none")
