@@ -10,11 +10,14 @@ outvoting its own text.
 ``bands * rows`` samples are drawn for each distinct text: the element least in
 ``ln c - r (t - b) - r`` with ``t = floor(ln w / r + b)``, its ``r``, ``c`` and ``b`` read by the
 element's hash from a table of random values. Texts that agree on a band's
-samples and their ``t`` meet in a bucket. Every member is compared with the
-bucket's first text by the exact weighted Jaccard similarity. Members that are
-not joined to it that way are compared with each other and with joined members;
-as one minus the similarity is a metric, pairs whose distances to the first text
-differ by more than one minus the threshold can't be links and are left out.
+samples and their ``t`` meet in a bucket. The bucket's leader is the member that
+meets most others over all bands, which in a group of copies is the text they
+were made from or one near it. Every member is compared with the leader by the
+exact weighted Jaccard similarity; the plain similarity of the sets of elements
+counts too, so that copies whose changed words are rare ones are not lost. Members that are not joined to it that way are
+compared with each other and with joined members; as one minus either similarity is
+a metric, pairs whose distances to the leader differ by more than one minus the
+threshold in both can't be links and are left out.
 
 Classes are the connected parts of the links. Exact copies share a text, are
 sampled once, and get its class. Null texts count as empty; empty texts are copies
@@ -33,6 +36,7 @@ from pathkin.session import stage as written
 
 BUCKETS = 1 << 16
 SIZE = 5
+SLOT = 256
 _PRIME = np.uint64(0x100000001B3)
 
 
@@ -78,12 +82,15 @@ def weighted(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return runs, out * counts
 
 
-def similarity(a, b) -> float:
+def similarity(a, b) -> tuple[float, float]:
+    """Weighted Jaccard similarity, and the plain one of the sets of elements."""
     if not len(a[0]) or not len(b[0]):
-        return float(len(a[0]) == len(b[0]))
+        same = float(len(a[0]) == len(b[0]))
+        return same, same
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     low = np.minimum(a[1][i], b[1][j]).sum()
-    return float(low / (a[1].sum() + b[1].sum() - low))
+    plain = len(i) / (len(a[0]) + len(b[0]) - len(i))
+    return float(low / (a[1].sum() + b[1].sum() - low)), float(plain)
 
 
 _rng = np.random.default_rng(20240229)
@@ -183,8 +190,13 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
         all_rows.groupBy("mark").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands")), "texts"
     )
     member = texts.select(F.col("mark"), F.explode("bands").alias("band"))
-    leaders = member.groupBy("band").agg(F.min("mark").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    buckets = written(member.join(leaders.select("band", "leader"), "band"), "buckets")
+    crowded = written(
+        member.join(member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"), "crowded"
+    )
+    # the text that meets most others is the one the others were copied from, or near it
+    met = crowded.groupBy("mark").agg(F.sum("n").alias("met"))
+    leaders = crowded.join(met, "mark").groupBy("band").agg(F.max(F.struct("met", "mark"))["mark"].alias("leader"))
+    buckets = written(crowded.select("band", "mark").join(leaders, "band"), "buckets")
 
     def verify(batches):
         kept = {}
@@ -194,8 +206,8 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
                 if a not in kept:
                     kept.clear()
                     kept[a] = weighted(x, shared.value)
-                out.append((a, b, similarity(kept[a], weighted(y, shared.value))))
-            yield pd.DataFrame(out, columns=["a", "b", "s"])
+                out.append((a, b, *similarity(kept[a], weighted(y, shared.value))))
+            yield pd.DataFrame(out, columns=["a", "b", "s", "plain"])
 
     sample_text = texts.select("mark", "doc_id")
 
@@ -204,35 +216,48 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
         named = pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))).distinct()
         kept_texts = marked.join(named, "mark", "left_semi").groupBy("mark").agg(F.any_value("text").alias("text"))
         kept_texts = written(kept_texts, f"{name}-texts")
-        right = pairs.join(kept_texts.select(F.col("mark").alias("b"), F.col("text").alias("y")), "b")
-        full = right.join(kept_texts.select(F.col("mark").alias("a"), F.col("text").alias("x")), "a")
-        return written(full.select("a", "b", "x", "y").mapInPandas(verify, "a string, b string, s double"), name)
+        # a text with many partners is dealt over as many slots as its pairs fill
+        slots = pairs.groupBy("a").agg(F.ceil(F.count("*") / SLOT).cast("int").alias("slots"))
+        dealt = pairs.join(slots, "a").withColumn("slot", F.pmod(F.xxhash64("b"), F.col("slots")).cast("int"))
+        right = dealt.join(kept_texts.select(F.col("mark").alias("b"), F.col("text").alias("y")), "b")
+        left = kept_texts.join(slots, F.col("mark") == F.col("a")).select(
+            "a", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.col("text").alias("x")
+        )
+        full = right.join(left, ["a", "slot"])
+        return written(full.select("a", "b", "x", "y").mapInPandas(verify, "a string, b string, s double, plain double"), name)
 
     first = verified(
         buckets.where("mark <> leader").select(F.col("leader").alias("a"), F.col("mark").alias("b")).distinct(), "first"
     )
-    links = first.where(F.col("s") >= threshold)
+    linked = F.greatest("s", "plain") >= threshold
+    links = first.where(linked)
     parts = components(links.select("a", "b"))
     # members that are not in their leader's part meet the rest of the bucket
     known = parts.withColumnRenamed("node", "mark")
     placed = (
         buckets.join(known, "mark", "left")
         .select("band", "mark", "leader", F.coalesce("part", "mark").alias("part"))
-        .join(first.select(F.col("a").alias("leader"), F.col("b").alias("mark"), "s"), ["leader", "mark"], "left")
+        .join(first.select(F.col("a").alias("leader"), F.col("b").alias("mark"), "s", "plain"), ["leader", "mark"], "left")
         .withColumn("far", 1 - F.coalesce("s", F.lit(1.0)))
+        .withColumn("apart", 1 - F.coalesce("plain", F.lit(1.0)))
         .join(known.select(F.col("mark").alias("leader"), F.col("part").alias("lead_part")), "leader", "left")
         .withColumn("open", F.col("part") != F.coalesce("lead_part", "leader"))
     )
-    placed = written(placed.select("band", "mark", "part", "far", "open"), "placed")
+    placed = written(placed.select("band", "mark", "part", "leader", "far", "apart", "open"), "placed")
     open_ = placed.where("open").select(
-        "band", F.col("mark").alias("b"), F.col("part").alias("part_b"), F.col("far").alias("far_b")
+        "band", F.col("mark").alias("b"), F.col("part").alias("part_b"), F.col("far").alias("far_b"), F.col("apart").alias("apart_b")
     )
     # leaders themselves were compared with every member
-    rest = placed.where("far > 0").join(open_, "band").where(
-        (F.col("part") != F.col("part_b")) & (F.abs(F.col("far") - F.col("far_b")) <= 1 - threshold + 1e-9)
+    reach = 1 - threshold + 1e-9
+    rest = placed.where("mark <> leader").join(open_, "band").where(
+        (F.col("part") != F.col("part_b"))
+        & (
+            (F.abs(F.col("far") - F.col("far_b")) <= reach)
+            | (F.abs(F.col("apart") - F.col("apart_b")) <= reach)
+        )
     )
     pairs = rest.select(F.least("mark", "b").alias("a"), F.greatest("mark", "b").alias("b")).distinct()
-    more = verified(pairs, "second").where(F.col("s") >= threshold)
+    more = verified(pairs, "second").where(linked)
     parts = components(links.select("a", "b").union(more.select("a", "b")))
     named = sample_text.join(parts.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
         "part", F.coalesce("part", "mark")
