@@ -58,8 +58,9 @@ class Transducer:
         self.clear()
 
     def clear(self) -> None:
-        # a state: [last emitted token, undecided bytes, last token of each prefix, moves]
-        self.root = [-1, b"", (-1,), {}]
+        # a state: [last emitted token, undecided bytes, last token of each prefix, moves, and
+        # for each prefix the places where its tokens begin or end, as bits]
+        self.root = [-1, b"", (-1,), {}, (1,)]
         self.states = {(-1, b""): self.root}
 
     def _allowed(self, left: int, right: int) -> bool:
@@ -85,27 +86,33 @@ class Transducer:
                 return token
         raise ValueError("the vocabulary lacks a single byte")
 
-    def _path(self, lasts: tuple[int, ...], end: int) -> list[int]:
-        """Places where tokens begin on the way back from ``end``, ``end`` first."""
-        out = [end]
-        while out[-1] > 0:
-            out.append(out[-1] - len(self.tokens[lasts[out[-1]]]))
-        return out
+    def _tokens(self, lasts: tuple[int, ...], end: int) -> list[int]:
+        """Tokens up to ``end``, in order."""
+        out = []
+        while end > 0:
+            out.append(lasts[end])
+            end -= len(self.tokens[lasts[end]])
+        return out[::-1]
 
     def move(self, state: list, byte: int) -> tuple[list, tuple[int, ...]]:
         text = state[1] + bytes([byte])
-        lasts = state[2] + (self._last(text, state[2]),)
+        last = self._last(text, state[2])
+        lasts = state[2] + (last,)
         n = len(text)
-        depth = next((d for d in range(min(n, self.longest), 0, -1) if text[n - d :] in self.starts), 0)
-        shared = set(self._path(lasts, n))
+        places = state[4] + (1 << n | state[4][n - len(self.tokens[last])],)
+        depth = min(n, self.longest)
+        while depth and text[n - depth :] not in self.starts:
+            depth -= 1
+        shared = places[n]
         for live in range(n - depth, n):
-            shared &= set(self._path(lasts, live))
-        cut = max(p for p in shared if p <= n - depth) if shared else 0
-        emitted = tuple(lasts[p] for p in sorted(self._path(lasts, cut)) if p > 0) if cut else ()
+            shared &= places[live]
+        # the last place that every continuation shares
+        cut = (shared & ((2 << (n - depth)) - 1)).bit_length() - 1
+        emitted = tuple(self._tokens(lasts, cut)) if cut else ()
         key = (lasts[cut], text[cut:])
         target = self.states.get(key)
         if target is None:
-            target = self.states[key] = [lasts[cut], text[cut:], lasts[cut:], {}]
+            target = self.states[key] = [lasts[cut], text[cut:], lasts[cut:], {}, tuple(p >> cut for p in places[cut:])]
         state[3][byte] = move = (target, emitted)
         return move
 
@@ -120,14 +127,13 @@ class Transducer:
             move = state[3].get(byte) or self.move(state, byte)
             state = move[0]
             out += move[1]
-        path = sorted(self._path(state[2], len(state[1])))
-        return out + [state[2][p] for p in path if p > 0]
+        return out + self._tokens(state[2], len(state[1]))
 
 
 class TextIds:
-    """Ids of whole texts as little-endian bytes; at most ``keep`` chunks are remembered."""
+    """Ids of whole texts as little-endian bytes; at most ``keep`` pieces and chunks are remembered."""
 
-    def __init__(self, ranks_path: str, keep: int = 250_000):
+    def __init__(self, ranks_path: str, keep: int = 800_000):
         import regex
 
         lines = Path(ranks_path).read_bytes().splitlines()
@@ -135,30 +141,33 @@ class TextIds:
         self.transducer = Transducer(self.ranks)
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.keep = keep
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        # a piece and a chunk of the same characters have the same ids
+        self.known: dict[str, bytes] = {}
+
+    def _remember(self, piece: str, ids: bytes) -> bytes:
+        if len(piece) < 64:
+            if len(self.known) >= self.keep:
+                self.known.clear()
+            self.known[piece] = ids
+        return ids
 
     def _piece(self, piece: str) -> bytes:
-        ids = np.asarray(self.transducer.encode(piece.encode()), dtype="<u4").tobytes()
-        if len(self.pieces) < self.keep and len(piece) < 64:
-            self.pieces[piece] = ids
-        return ids
+        return self._remember(piece, np.asarray(self.transducer.encode(piece.encode()), dtype="<u4").tobytes())
 
     def _chunk(self, chunk: str) -> bytes:
-        get = self.pieces.get
-        ids = b"".join([get(p) or self._piece(p) for p in self.split(chunk)])
-        if len(self.chunks) < self.keep and len(chunk) < 64:
-            self.chunks[chunk] = ids
-        return ids
+        get = self.known.get
+        pieces = self.split(chunk)
+        ids = b"".join([get(p) or self._piece(p) for p in pieces])
+        return ids if len(pieces) == 1 else self._remember(chunk, ids)
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
         if _BESIDE_SPACE.search(text):
-            get = self.pieces.get
+            get = self.known.get
             return b"".join([get(p) or self._piece(p) for p in self.split(text)])
         # the pattern always breaks before a lone space, so these chunks are whole pieces
-        get = self.chunks.get
+        get = self.known.get
         first, *rest = text.split(" ")
         out = [get(first) or self._chunk(first)] if first else []
         for word in rest:
