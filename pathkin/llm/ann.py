@@ -3,7 +3,8 @@
 Vectors are scaled to length one, rotated by a fixed random rotation and dealt to
 the list of their nearest centre; centres are fitted by k-means on a sample of
 at most ``sample_rows`` rows (the first in the order of a hash of the id). A list
-is stored in chunks of ``chunk_rows``, each as column blocks. A query probes its
+is dealt by a hash of the id over chunks of about ``chunk_rows``, each held as column
+blocks, and queries come in blocks of about ``query_rows``. A query probes its
 nearest lists. In a chunk the partial distance over the first column blocks is
 tested: a candidate is abandoned once ``partial * dims / seen`` exceeds
 ``limit * (1 + epsilon / sqrt(seen)) ** 2``, where the limit is the k-th best exact
@@ -89,6 +90,7 @@ def nearest(
     sample_rows: int = 8192,
     max_lists: int = 4096,
     chunk_rows: int = 4096,
+    query_rows: int = 1024,
     block_dims: int = 16,
     epsilon: float = 2.1,
 ) -> DataFrame:
@@ -108,28 +110,42 @@ def nearest(
     centres = k_means(unit @ rotation, lists)
     probes = max(1, math.ceil(probe_share * len(centres)))
 
+    def assign(batches):
+        for batch in batches:
+            batch["list_id"] = (_stack(batch["v"])[1] @ rotation @ centres.T).argmax(axis=1).astype(np.int32)
+            yield batch
+
+    placed = stage(vectors.mapInPandas(assign, "id long, v array<double>, list_id int"), "ann-lists")
+    # a list is dealt over as many slots as it fills chunks: one row a list, so at most max_lists rows
+    slots = placed.groupBy("list_id").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("slots"))
+    dealt = (
+        placed.join(slots, "list_id")
+        .withColumn("slot", F.pmod(F.xxhash64("id"), F.col("slots")).cast("int"))
+        .drop("slots")
+        .repartition("list_id", "slot")
+        .sortWithinPartitions("list_id", "slot")
+    )
+
     def build(batches):
-        held: dict[int, list] = {}
+        held, now = [], None
 
-        def pack(j):
-            ids, cells = zip(*held.pop(j))
+        def pack():
+            ids, cells = zip(*held)
             x, u = _stack(cells)
-            row = (j, len(ids), np.array(ids, dtype=np.int64).tobytes(), x.tobytes(), (u @ rotation).T.tobytes())
+            row = (now[0], len(ids), np.array(ids, dtype=np.int64).tobytes(), x.tobytes(), (u @ rotation).T.tobytes())
+            held.clear()
             return pd.DataFrame([row], columns=["list_id", "n", "ids", "vectors", "columns_"])
 
         for batch in batches:
-            near = (_stack(batch["v"])[1] @ rotation @ centres.T).argmax(axis=1)
-            for j, key, cell in zip(near.tolist(), batch["id"], batch["v"]):
-                held.setdefault(j, []).append((key, cell))
-                if len(held[j]) == chunk_rows:
-                    yield pack(j)
-        for j in list(held):
-            yield pack(j)
-
-    # rows of a list meet in one task where a list is no larger than a chunk
-    chunks = vectors.mapInPandas(
-        build, "list_id int, n int, ids binary, vectors binary, columns_ binary"
-    )
+            for j, slot, key, cell in zip(batch["list_id"].tolist(), batch["slot"].tolist(), batch["id"], batch["v"]):
+                if held and ((j, slot) != now or len(held) == 2 * chunk_rows):
+                    yield pack()
+                now = (j, slot)
+                held.append((key, cell))
+        if held:
+            yield pack()
+
+    chunks = dealt.mapInPandas(build, "list_id int, n int, ids binary, vectors binary, columns_ binary")
     index = stage(chunks, "ann-index")
 
     def ask(batches):
@@ -144,7 +160,10 @@ def nearest(
                 rows.append((int(j), ids[mine].tobytes(), x[mine].tobytes(), u[mine].tobytes()))
             yield pd.DataFrame(rows, columns=["list_id", "q_ids", "q_vectors", "q_rotated"])
 
-    asked = queries.mapInPandas(ask, "list_id int, q_ids binary, q_vectors binary, q_rotated binary")
+    # queries are asked in blocks of about query_rows
+    blocks = max(1, math.ceil(queries.count() / query_rows))
+    blocked = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).repartition("block").drop("block")
+    asked = blocked.mapInPandas(ask, "list_id int, q_ids binary, q_vectors binary, q_rotated binary")
     pairs = index.join(asked, "list_id")
 
     def search(batches):
