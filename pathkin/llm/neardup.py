@@ -14,10 +14,16 @@ samples and their ``t`` meet in a bucket. The bucket's leader is the member that
 meets most others over all bands, which in a group of copies is the text they
 were made from or one near it. Every member is compared with the leader by the
 exact weighted Jaccard similarity; the plain similarity of the sets of elements
-counts too, so that copies whose changed words are rare ones are not lost. Members that are not joined to it that way are
-compared with each other and with joined members; as one minus either similarity is
-a metric, pairs whose distances to the leader differ by more than one minus the
-threshold in both can't be links and are left out.
+counts too, so that copies whose changed words are rare ones are not lost.
+
+Members that are not joined to it that way may still be links of each other or of
+joined members. For these pairs two bounds hold, and only pairs within both are
+compared exactly, so no link is lost. One minus either similarity is a metric, so the
+distances of a link to the leader differ by at most one minus the threshold. And a
+member's differences from the leader, elements it lacks and elements it adds, are
+kept as bits: a bit that only one member has is an element that only the other, or
+only it, holds, which limits what they can share. The bounds are taken over blocks of
+``SLOT`` members with ``SLOT`` open ones, and a pair is named in its first bucket only.
 
 Classes are the connected parts of the links. Exact copies share a text, are
 sampled once, and get its class. Null texts count as empty; empty texts are copies
@@ -62,11 +68,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def weighted(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct elements in order, and their weights."""
+def elements(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct elements in order, the weight of one occurrence, and their counts."""
     words = word_hashes(text)
     if not len(words):
-        return words, np.zeros(0)
+        return words, np.zeros(0), np.zeros(0, dtype=np.int64)
     value = idf[(words >> np.uint64(48)).astype(np.int64)]
     n = max(1, len(words) - SIZE + 1)
     width = min(SIZE, len(words))
@@ -79,7 +85,62 @@ def weighted(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     runs, back, counts = np.unique(mixed(runs), return_inverse=True, return_counts=True)
     out = np.zeros(len(runs))
     out[back] = weight / width  # equal runs hold the same words
-    return runs, out * counts
+    return runs, out, counts
+
+
+def weighted(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct elements in order, and their weights."""
+    runs, value, counts = elements(text, idf)
+    return runs, value * counts
+
+
+# least weights of the classes of occurrences; a last class holds first occurrences
+LEAST = np.array([1.0, 2.5, 3.3])
+PLACES = 512
+
+
+def occurrences(runs: np.ndarray, value: np.ndarray, counts: np.ndarray):
+    """Every occurrence as a hash in order, its weight, and whether it is its element's first."""
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    with np.errstate(over="ignore"):
+        names = mixed(np.repeat(runs, counts) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(names)
+    return names[order], np.repeat(value, counts)[order], nth[order] == 0
+
+
+def differences(leader, member) -> bytes:
+    """Bits of the leader's occurrences that the member lacks, then of those it adds."""
+
+    def bits(names, value, first):
+        out = np.zeros((len(LEAST) + 1, PLACES), dtype=bool)
+        place = (names >> np.uint64(55)).astype(np.int64)
+        out[np.searchsorted(LEAST[1:], value, side="right"), place] = True
+        out[-1, place[first]] = True
+        return np.packbits(out).tobytes()
+
+    lacks = ~np.isin(leader[0], member[0], assume_unique=True)
+    adds = ~np.isin(member[0], leader[0], assume_unique=True)
+    return bits(*(x[lacks] for x in leader)) + bits(*(x[adds] for x in member))
+
+
+def possible(x: dict, y: dict, threshold: float) -> np.ndarray:
+    """Which pairs of two blocks with one leader may be links; never false for a link."""
+
+    def only(a, b):  # bits of b that a lacks, by class
+        return np.stack(
+            [np.bitwise_count(b[None, :, k] & ~a[:, None, k]).sum(axis=2, dtype=np.int64) for k in range(a.shape[1])], axis=2
+        )
+
+    # what x holds and y does not, and the reverse
+    x_only = only(x["lacks"], y["lacks"]) + only(y["adds"], x["adds"]).transpose(1, 0, 2)
+    y_only = only(y["lacks"], x["lacks"]).transpose(1, 0, 2) + only(x["adds"], y["adds"])
+    out = np.zeros(x_only.shape[:2], dtype=bool)
+    for size, cost, far in (("weight", np.r_[LEAST, 0.0], "far"), ("n", np.r_[0.0 * LEAST, 1.0], "apart")):
+        a, b = x[size][:, None], y[size][None, :]
+        shared = np.minimum(a - x_only @ cost, b - y_only @ cost)
+        near = np.abs(x[far][:, None] - y[far][None, :]) <= 1 - threshold + 1e-9
+        out |= near & (shared * (1 + threshold) >= (threshold - 1e-9) * (a + b))
+    return out
 
 
 def similarity(a, b) -> tuple[float, float]:
@@ -198,20 +259,24 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
     leaders = crowded.join(met, "mark").groupBy("band").agg(F.max(F.struct("met", "mark"))["mark"].alias("leader"))
     buckets = written(crowded.select("band", "mark").join(leaders, "band"), "buckets")
 
-    def verify(batches):
+    def verify(batches, outlined):
         kept = {}
         for batch in batches:
             out = []
             for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"]):
                 if a not in kept:
                     kept.clear()
-                    kept[a] = weighted(x, shared.value)
-                out.append((a, b, *similarity(kept[a], weighted(y, shared.value))))
-            yield pd.DataFrame(out, columns=["a", "b", "s", "plain"])
+                    runs, value, counts = elements(x, shared.value)
+                    kept[a] = (runs, value * counts), occurrences(runs, value, counts)
+                runs, value, counts = elements(y, shared.value)
+                both = similarity(kept[a][0], (runs, value * counts))
+                bits = differences(kept[a][1], occurrences(runs, value, counts)) if outlined else None
+                out.append((a, b, *both, len(runs), float((value * counts).sum()), bits))
+            yield pd.DataFrame(out, columns=["a", "b", "s", "plain", "n", "weight", "bits"])
 
     sample_text = texts.select("mark", "doc_id")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
+    def verified(pairs: DataFrame, name: str, outlined: bool = False) -> DataFrame:
         # one copy of each text that a pair names
         named = pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))).distinct()
         kept_texts = marked.join(named, "mark", "left_semi").groupBy("mark").agg(F.any_value("text").alias("text"))
@@ -224,10 +289,16 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
             "a", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.col("text").alias("x")
         )
         full = right.join(left, ["a", "slot"])
-        return written(full.select("a", "b", "x", "y").mapInPandas(verify, "a string, b string, s double, plain double"), name)
+        made = full.select("a", "b", "x", "y").mapInPandas(
+            lambda batches: verify(batches, outlined),
+            "a string, b string, s double, plain double, n long, weight double, bits binary",
+        )
+        return written(made, name)
 
     first = verified(
-        buckets.where("mark <> leader").select(F.col("leader").alias("a"), F.col("mark").alias("b")).distinct(), "first"
+        buckets.where("mark <> leader").select(F.col("leader").alias("a"), F.col("mark").alias("b")).distinct(),
+        "first",
+        outlined=True,
     )
     linked = F.greatest("s", "plain") >= threshold
     links = first.where(linked)
@@ -235,28 +306,55 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
     # members that are not in their leader's part meet the rest of the bucket
     known = parts.withColumnRenamed("node", "mark")
     placed = (
-        buckets.join(known, "mark", "left")
-        .select("band", "mark", "leader", F.coalesce("part", "mark").alias("part"))
-        .join(first.select(F.col("a").alias("leader"), F.col("b").alias("mark"), "s", "plain"), ["leader", "mark"], "left")
-        .withColumn("far", 1 - F.coalesce("s", F.lit(1.0)))
-        .withColumn("apart", 1 - F.coalesce("plain", F.lit(1.0)))
+        buckets.where("mark <> leader")  # leaders were compared with every member
+        .join(known, "mark", "left")
         .join(known.select(F.col("mark").alias("leader"), F.col("part").alias("lead_part")), "leader", "left")
-        .withColumn("open", F.col("part") != F.coalesce("lead_part", "leader"))
-    )
-    placed = written(placed.select("band", "mark", "part", "leader", "far", "apart", "open"), "placed")
-    open_ = placed.where("open").select(
-        "band", F.col("mark").alias("b"), F.col("part").alias("part_b"), F.col("far").alias("far_b"), F.col("apart").alias("apart_b")
+        .select(
+            "band", "mark", "leader", F.coalesce("part", "mark").alias("part"),
+            (F.coalesce("part", "mark") != F.coalesce("lead_part", "leader")).alias("open"),
+        )
     )
-    # leaders themselves were compared with every member
-    reach = 1 - threshold + 1e-9
-    rest = placed.where("mark <> leader").join(open_, "band").where(
-        (F.col("part") != F.col("part_b"))
-        & (
-            (F.abs(F.col("far") - F.col("far_b")) <= reach)
-            | (F.abs(F.col("apart") - F.col("apart_b")) <= reach)
+    placed = written(placed, "placed")
+    unsettled = placed.groupBy("band").agg(F.count("*").alias("n_all"), F.count_if("open").alias("n_open")).where("n_open > 0")
+    detailed = (
+        placed.join(unsettled, "band")
+        .join(
+            first.select(
+                F.col("a").alias("leader"), F.col("b").alias("mark"), (1 - F.col("s")).alias("far"),
+                (1 - F.col("plain")).alias("apart"), "n", "weight", "bits",
+            ),
+            ["leader", "mark"],
         )
+        .join(texts.select("mark", "bands"), "mark")
     )
-    pairs = rest.select(F.least("mark", "b").alias("a"), F.greatest("mark", "b").alias("b")).distinct()
+    member_row = F.struct("mark", "part", "far", "apart", "n", "weight", "bits", "bands")
+
+    def blocks(rows: DataFrame, count: str, name: str) -> DataFrame:
+        # about SLOT members in a block, whatever the bucket's size
+        slot = F.pmod(F.xxhash64("mark"), F.ceil(F.col(count) / SLOT)).cast("int")
+        return rows.groupBy("band", slot.alias("slot")).agg(F.collect_list(member_row).alias(name)).select("band", name)
+
+    detailed = written(detailed, "detailed")
+    met_blocks = blocks(detailed.where("open"), "n_open", "x").join(blocks(detailed, "n_all", "y"), "band")
+
+    def unpacked(rows) -> dict:
+        out = {k: np.array([r[k] for r in rows], dtype=float) for k in ("far", "apart", "n", "weight")}
+        bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in rows), dtype=np.uint64)
+        bits = bits.reshape(len(rows), 2, len(LEAST) + 1, PLACES // 64)
+        out |= {"lacks": bits[:, 0], "adds": bits[:, 1], "bands": np.array([list(r["bands"]) for r in rows], dtype=np.int64)}
+        return out | {k: np.array([r[k] for r in rows]) for k in ("mark", "part")}
+
+    def candidates(batches):
+        for batch in batches:
+            for band, x, y in zip(batch["band"], batch["x"], batch["y"]):
+                x, y = unpacked(x), unpacked(y)
+                i, j = np.nonzero(possible(x, y, threshold) & (x["part"][:, None] != y["part"][None, :]))
+                both = x["bands"][i] == y["bands"][j]
+                here = x["bands"][i, both.argmax(axis=1)] == band  # the first band they share
+                a, b = x["mark"][i[here]], y["mark"][j[here]]
+                yield pd.DataFrame({"a": np.where(a < b, a, b), "b": np.where(a < b, b, a)}, dtype=object)
+
+    pairs = met_blocks.mapInPandas(candidates, "a string, b string").distinct()
     more = verified(pairs, "second").where(linked)
     parts = components(links.select("a", "b").union(more.select("a", "b")))
     named = sample_text.join(parts.withColumnRenamed("node", "mark"), "mark", "left").withColumn(

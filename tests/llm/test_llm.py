@@ -195,3 +195,34 @@ def test_pipeline_keeps_whole_documents(spark):
 
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and max(r.offset + r.length for r in rows) <= 1024
+
+
+def test_bounds_keep_every_link():
+    rng = np.random.default_rng(5)
+    idf = 1 + rng.random(neardup.BUCKETS) * 3
+    base_words = [f"w{i}" for i in rng.integers(0, 60, 120)]
+    line = "the same line again and again ".split()
+
+    def edited(k: int) -> str:
+        words = list(base_words)
+        for at in rng.integers(0, len(words), k):
+            words[at] = f"x{rng.integers(0, 9)}"
+        return " ".join(words + line * int(rng.integers(0, 4)))
+
+    texts = [edited(int(k)) for k in rng.integers(0, 9, 60)] + [" ".join(base_words)]
+    known = [neardup.elements(t, idf) for t in texts]
+    full = [(r, v * c) for r, v, c in known]
+    leader = neardup.occurrences(*known[-1])
+    rows = []
+    for (runs, value, counts), whole in zip(known[:-1], full[:-1]):
+        bits = neardup.differences(leader, neardup.occurrences(runs, value, counts))
+        s, plain = neardup.similarity(full[-1], whole)
+        rows.append((np.frombuffer(bits, dtype=np.uint64), 1 - s, 1 - plain, len(runs), (value * counts).sum()))
+    bits = np.stack([r[0] for r in rows]).reshape(len(rows), 2, len(neardup.LEAST) + 1, -1)
+    block = {"lacks": bits[:, 0], "adds": bits[:, 1]}
+    block |= {k: np.array([r[i] for r in rows]) for i, k in enumerate(("far", "apart", "n", "weight"), 1)}
+    may = neardup.possible(block, block, 0.8)
+    links = np.array([[max(neardup.similarity(a, b)) >= 0.8 for b in full[:-1]] for a in full[:-1]])
+    assert 0 < links.sum() < links.size
+    assert not (links & ~may).any()
+    assert (~may).any()
