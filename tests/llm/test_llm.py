@@ -137,6 +137,19 @@ def test_personal_data_spans(spark):
     assert base_[3] == [] and base_[4] == []
 
 
+def test_wide_personal_data_is_added(spark):
+    texts = [
+        "please call (555) 123-4567 now", "write jo [at] site [dot] com. Then wait", "ann.b(at)mail2.example", "at 555-123-4567",
+        "host 1.2.3.256", "4524132264652877", "+1 (988) 555-248", "no 233.233.171.999 and 123-45-678", "plain (at) words", None,
+        "see +1 (555) 123-4567 or jo@site.com",
+    ]
+    found = pii.scan(docs_of(spark, texts)).collect()
+    extra = {r.doc_id: [t for s in r.spans_ if s.kind == "other" for t in [texts[r.doc_id][s.at : s.end]]] for r in found}
+    assert {k: v for k, v in extra.items() if v} == {
+        0: ["(555) 123-4567"], 1: ["jo [at] site [dot] com"], 2: ["ann.b(at)mail2.example"], 3: ["555-123-4567"],
+    }
+
+
 @pytest.mark.parametrize("name", ["op3_subsequence_toxicity", "op4_rule_ensemble"])
 def test_scores(spark, name):
     rows = QUERIES[name](spark, SF).collect()
