@@ -4,16 +4,20 @@ Words that occur once in a stretch and once in a template are anchors; the longe
 increasing subsequence of their places is kept, and the gaps between anchors are
 aligned in the same way. The share of template words in the alignment is the
 coverage. A stretch runs from a template's length before to twice its length after
-a place where one of the template's rarest words stands, so texts are read whole.
-
-Null texts count as empty. One row for every document: its best template (ties to
-the first listed), coverage and code-point span, or nulls below ``least``.
+a place where a sign word of the template stands, so texts are read whole. A template
+has one sign word more than words may be missing, so one stands in every notice.
+Stretches of just the template's length are tried too, so that notices that follow
+each other are told apart.
+
+Null texts count as empty. One row for every document: its best notice (most
+coverage, ties to the first listed), coverage and code-point span, or nulls below
+``least``.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import pandas as pd
@@ -43,6 +47,7 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "Unlicense": "This is free and unencumbered software released into the public domain",
 }
+SHORT, OWN, VARIANT = 0, set(), set()
 _WORD = re.compile(r"\w[\w.-]*\w|\w")
 
 
@@ -89,47 +94,97 @@ def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str]):
-        self.words = {k: [w.lower() for w in _WORD.findall(t)] for k, t in templates.items()}
-        spread = Counter(w for ws in self.words.values() for w in set(ws))
-        # two rare words of each template: one may be missing from a notice
-        self.signs = {k: sorted(set(ws), key=lambda w: (spread[w], -len(w), w))[:2] for k, ws in self.words.items()}
-        self.any_sign = {w for ws in self.signs.values() for w in ws}
-
-    def best(self, text: str, least: float) -> tuple:
+    def __init__(self, templates: dict[str, str | list[str]], least: float = 0.8):
+        self.least = least
+        wordings = [(k, t) for k, ts in templates.items() for t in ([ts] if isinstance(ts, str) else ts)]
+        self.names = [k for k, _ in wordings]
+        self.words = [[w.lower() for w in _WORD.findall(t)] for _, t in wordings]
+        spread = Counter(w for ws in self.words for w in set(ws))
+        self.missing = [int((1 - least) * len(ws) + 1e-9) for ws in self.words]
+        # more rare words of each template than may be missing from a notice
+        self.signs = [
+            sorted(set(ws), key=lambda w: (spread[w], -len(w), w))[: m + 1] for ws, m in zip(self.words, self.missing)
+        ]
+        self.own = [(VARIANT | OWN if len(ws) < SHORT else VARIANT) & set(ws) for ws in self.words]
+        self.any_sign = {w for ws in self.signs for w in ws}
+        self.any_word = {w for ws in self.words for w in ws}
+
+    def alignment(self, words: list[str], k: int, at: int, low: int) -> list[tuple[int, int]]:
+        """Best alignment of template ``k`` around a sign's place, not before ``low``; empty if below ``least``."""
+        template = self.words[k]
+        n = len(template)
+        first, high = max(low, at - n), at + 2 * n
+        there, wanted = Counter(words[first:high]), Counter(template)
+        if sum((there & wanted).values()) < self.least * n - 1e-9:
+            return []
+        stretches = {(first, high)}
+        for j in (j for j, w in enumerate(template) if w == words[at]):
+            stretches |= {(max(low, at - j + d), at - j + d + n) for d in range(min(self.missing[k], j) + 1)}
+        best: list[tuple[int, int]] = []
+        for x, y in sorted(stretches):
+            match = [(x + i, j) for i, j in aligned(words[x:y], template)]
+            if not self.own[k] <= {template[j] for _, j in match}:
+                continue
+            rank = lambda m: (len(m), m[0][0] - m[-1][0]) if m else (0, 0)
+            best = max(best, match, key=rank)
+        return best if len(best) >= self.least * n - 1e-9 else []
+
+    def notices(self, text: str) -> list[tuple]:
+        """(license, coverage, start, end) of every notice, by place."""
         lowered = text.lower()
         if not any(sign in lowered for sign in self.any_sign):
-            return None, None, None, None
+            return []
         found = [(m.group().lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
         words = [f[0] for f in found]
-        best = (0.0, None, None, None)
         places: dict[str, list[int]] = {}
         for i, w in enumerate(words):
-            if w in self.any_sign:
+            if w in self.any_word:
                 places.setdefault(w, []).append(i)
-        for name, template in self.words.items():
-            done = -1
-            for at in sorted(p for sign in self.signs[name] for p in places.get(sign, [])):
-                if at <= done:
+        made = []
+        for k, template in enumerate(self.words):
+            n, done = len(template), -1
+            if not any(sign in places for sign in self.signs[k]):
+                continue
+            known = sorted(p for w in set(template) for p in places.get(w, []))
+            for at in sorted(p for sign in self.signs[k] for p in places.get(sign, [])):
+                low = max(done + 1, at - n)
+                near = bisect_left(known, at + 2 * n) - bisect_left(known, low)
+                if at <= done or near < self.least * n - 1e-9:
                     continue
-                low, high = max(0, at - len(template)), at + 2 * len(template)
-                match = aligned(words[low:high], template)
-                cover = len(match) / len(template)
-                if cover > best[0]:
-                    best = (cover, name, found[low + match[0][0]][1], found[low + match[-1][0]][2])
-                if cover >= least:
-                    done = low + match[-1][0]
-        return (best[1], best[0], best[2], best[3]) if best[0] >= least else (None, None, None, None)
-
-
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
+                match = self.alignment(words, k, at, done + 1)
+                if match:
+                    made.append((k, match))
+                    done = match[-1][0]
+        return [
+            (self.names[k], len(match) / len(self.words[k]), found[match[0][0]][1], found[match[-1][0]][2])
+            for k, match in fullest(made)
+        ]
+
+
+def fullest(made: list[tuple[int, list]]) -> list[tuple[int, list]]:
+    """Alignments whose words are not all in a fuller one, or an equal one listed before, by place."""
+    made = sorted(made, key=lambda x: (x[1][0][0], -len(x[1]), -len(x[1]) / (x[1][-1][1] + 1), x[0]))
+    starts = [m[0][0] for _, m in made]
+    sets = [{i for i, _ in m} for _, m in made]
+    longest = max((m[-1][0] - m[0][0] for _, m in made), default=0)
+    out = []
+    for i, (k, match) in enumerate(made):
+        near = range(bisect_left(starts, match[0][0] - longest), bisect_right(starts, match[0][0]))
+        if not any(sets[i] < sets[j] or (sets[i] == sets[j] and j < i) for j in near if j != i):
+            out.append((k, match))
+    return out
+
+
+def scan(docs: DataFrame, templates: dict[str, str | list[str]] = TEMPLATES, least: float = 0.8) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches):
-        scanner = Scanner(templates)
+        scanner = Scanner(templates, least)
+        listed = {k: i for i, k in enumerate(templates)}
         for batch in batches:
-            rows = [scanner.best(t, least) for t in batch["text"]]
-            out = pd.DataFrame(rows, columns=["license", "coverage", "start", "end"])
+            rows = [scanner.notices(t) for t in batch["text"]]
+            best = [min(r, key=lambda x: (-x[1], listed[x[0]], x[2]), default=(None,) * 4) for r in rows]
+            out = pd.DataFrame(best, columns=["license", "coverage", "start", "end"])
             out["coverage"] = out["coverage"].astype(float)
             for c in ("start", "end"):
                 out[c] = out[c].astype("Int64")

@@ -196,6 +196,22 @@ def test_licenses(spark):
     assert got[0] == ("Apache-2.0", 2, 48) and got[1][0] == "MIT" and got[2][0] is None and got[3][0] is None
 
 
+def test_notices_with_any_allowed_words_missing_are_found():
+    from itertools import combinations
+
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, k in (("GPL-3.0", 2), ("CC-BY-4.0", 2), ("Unlicense", 2), ("BSD", 2), ("MPL-2.0", 3)):
+        words = next(w for w, n in zip(scanner.words, scanner.names) if n == name and len(w) >= 10)
+        for gone in combinations(range(len(words)), k):
+            text = "xx yy " + " ".join(w for i, w in enumerate(words) if i not in gone) + " zz"
+            got = scanner.notices(text)
+            assert any(abs(n[1] - 1 + k / len(words)) < 1e-9 for n in got), (name, gone)
+    changed = "Redistributions and use in source and binary forms, with or without modifications, are permitted provided that the following conditions are met"
+    assert scanner.notices(changed)[0][0] == "BSD"
+    assert scanner.notices("This work is licensed under a Creative Commons 4.0 License")[0][0] == "CC-BY-4.0"
+    assert scanner.notices("This work is licensed under the Public License, version 3")[0][0] == "GPL-3.0"
+
+
 def test_rules_need_no_python(spark):
     plan = QUERIES["op4_rule_ensemble"](spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
