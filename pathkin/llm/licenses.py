@@ -9,9 +9,13 @@ has one sign word more than words may be missing, so one stands in every notice.
 Stretches of just the template's length are tried too, so that notices that follow
 each other are told apart.
 
+A wording of few words must also have its license's own word (``OWN``), and that of a
+variant the variant's (``VARIANT``), or other licenses would fit it. Of alignments over the same words only the fullest is kept: a notice of
+the lesser license holds every word of the general one.
+
 Null texts count as empty. One row for every document: its best notice (most
 coverage, ties to the first listed), coverage and code-point span, or nulls below
-``least``.
+``least``; and ``notices``, every alignment at or above ``least``, by place.
 """
 
 from __future__ import annotations
@@ -25,29 +29,92 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pathkin.llm.base import ship, table, whole_text
 
-# fixed values: wording of public license notices
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and"
+    " associated documentation files (the \"Software\"), to deal in the Software without restriction"
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee"
+    " is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    " provided that the following conditions are met"
+)
+_BSD_2 = (
+    " Redistributions of source code must retain the above copyright notice, this list of conditions and the"
+    " following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of"
+    " conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_3 = (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+    " products derived from this software without specific prior written permission."
+)
+
+
+def _gnu(kind: str, version: str) -> list[str]:
+    return [
+        f"This work is licensed under the GNU {kind} License, version {version}",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        f" {kind} License as published by the Free Software Foundation, either version {version} of the License,"
+        " or (at your option) any later version",
+    ]
+
+
+def _creative(kind: str, short: str) -> list[str]:
+    return [
+        f"Licensed under CC {short} 4.0",
+        f"This work is licensed under a Creative Commons {kind} 4.0 International License",
+    ]
+
+
+# fixed values: wordings of public license notices
 TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "MIT": "Released under the MIT License",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "MIT-text": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and"
-        " associated documentation files (the \"Software\"), to deal in the Software without restriction"
-    ),
-    "BSD": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted"
-        " provided that the following conditions are met"
-    ),
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee"
-        " is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"
-    ),
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "Unlicense": "This is free and unencumbered software released into the public domain",
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
+        " compliance with the License. You may obtain a copy of the License at",
+    ],
+    "GPL-3.0": _gnu("General Public", "3"),
+    "MIT": ["Released under the MIT License"],
+    "CC-BY-NC-4.0": _creative("Attribution-NonCommercial", "BY-NC"),
+    "CC-BY-4.0": _creative("Attribution", "BY"),
+    "MIT-text": [
+        _MIT,
+        _MIT + ", including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,"
+        " and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject"
+        " to the following conditions: The above copyright notice and this permission notice shall be included in all"
+        " copies or substantial portions of the Software.",
+    ],
+    "BSD": ["Released under the BSD License", _BSD],
+    "BSD-2-Clause": [_BSD + _BSD_2],
+    "BSD-3-Clause": [_BSD + _BSD_2 + _BSD_3],
+    "ISC": ["Released under the ISC License", _ISC],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        "Licensed under the Mozilla Public License, Version 2.0",
+    ],
+    "Unlicense": ["This is free and unencumbered software released into the public domain"],
+    "Apache-1.1": ["Licensed under the Apache License, Version 1.1"],
+    "GPL-2.0": _gnu("General Public", "2"),
+    "LGPL-3.0": _gnu("Lesser General Public", "3"),
+    "LGPL-2.1": _gnu("Lesser General Public", "2.1"),
+    "AGPL-3.0": _gnu("Affero General Public", "3"),
+    "CC-BY-SA-4.0": _creative("Attribution-ShareAlike", "BY-SA"),
+    "CC-BY-ND-4.0": _creative("Attribution-NoDerivatives", "BY-ND"),
+    "CC-BY-NC-SA-4.0": _creative("Attribution-NonCommercial-ShareAlike", "BY-NC-SA"),
+    "CC-BY-NC-ND-4.0": _creative("Attribution-NonCommercial-NoDerivatives", "BY-NC-ND"),
+}
+# words that a license of a family has and the family's first has not
+VARIANT = {
+    "lesser", "affero", "attribution-noncommercial", "attribution-sharealike", "attribution-noderivatives",
+    "attribution-noncommercial-sharealike", "attribution-noncommercial-noderivatives",
+}
+# wordings of fewer words than this must have their own word
+SHORT = 10
+OWN = {
+    "apache", "mit", "bsd", "isc", "mozilla", "by", "by-nc", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd",
 }
-SHORT, OWN, VARIANT = 0, set(), set()
 _WORD = re.compile(r"\w[\w.-]*\w|\w")
 
 
@@ -175,6 +242,9 @@ def fullest(made: list[tuple[int, list]]) -> list[tuple[int, list]]:
     return out
 
 
+NOTICE = "struct<license:string,coverage:double,start:long,end:long>"
+
+
 def scan(docs: DataFrame, templates: dict[str, str | list[str]] = TEMPLATES, least: float = 0.8) -> DataFrame:
     ship(docs.sparkSession)
 
@@ -188,11 +258,12 @@ def scan(docs: DataFrame, templates: dict[str, str | list[str]] = TEMPLATES, lea
             out["coverage"] = out["coverage"].astype(float)
             for c in ("start", "end"):
                 out[c] = out[c].astype("Int64")
+            out["notices"] = [[dict(zip(("license", "coverage", "start", "end"), x)) for x in r] for r in rows]
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").values)
             yield out
 
     return docs.select(docs["doc_id"].cast("long"), whole_text(docs).alias("text")).mapInPandas(
-        run, "doc_id long, license string, coverage double, start long, end long"
+        run, f"doc_id long, license string, coverage double, start long, end long, notices array<{NOTICE}>"
     )
 
 

@@ -212,6 +212,24 @@ def test_notices_with_any_allowed_words_missing_are_found():
     assert scanner.notices("This work is licensed under the Public License, version 3")[0][0] == "GPL-3.0"
 
 
+def test_every_notice_of_a_document(spark):
+    mit, apache = "Released under the MIT License. ", "Licensed under the Apache License, Version 2.0. "
+    whole = {n: licenses.TEMPLATES[n][-1] for n in ("MIT-text", "BSD-2-Clause", "BSD-3-Clause")}
+    texts = [
+        mit + apache, mit * 3, mit + "and words " * 40 + mit, "Released under the BSD License", "Licensed under CC BY-SA 4.0",
+        "Licensed under CC BY 4.0", "Licensed under the GNU", "This work is licensed under the GNU Lesser General Public License, version 3",
+        "This work is licensed under the GNU General Public License, version 2", "no notice", None, *whole.values(),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(docs_of(spark, texts)).collect()}
+    names = [[n.license for n in got[i].notices] for i in range(len(texts))]
+    assert names == [
+        ["MIT", "Apache-2.0"], ["MIT"] * 3, ["MIT"] * 2, ["BSD"], ["CC-BY-SA-4.0"], ["CC-BY-4.0"], [], ["LGPL-3.0"], ["GPL-2.0"],
+        [], [], *[[n] for n in whole],
+    ]
+    assert [(n.start, n.end) for n in got[1].notices] == [(32 * i, 32 * i + 30) for i in range(3)]
+    assert (got[0].license, got[0].coverage, got[0].start, got[0].end) == ("Apache-2.0", 1.0, 32, 78)
+
+
 def test_rules_need_no_python(spark):
     plan = QUERIES["op4_rule_ensemble"](spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
