@@ -9,8 +9,9 @@ outvoting its own text.
 
 ``bands * rows`` samples are drawn for each distinct text: the element least in
 ``ln c - r (t - b) - r`` with ``t = floor(ln w / r + b)``, its ``r``, ``c`` and ``b`` read by the
-element's hash from a table of random values. Texts that agree on a band's
-samples and their ``t`` meet in a bucket. The bucket's leader is the member that
+element's hash from a table of random values. As many are drawn with all weights one, so that
+texts alike only by the plain similarity (a repeated body, rare words changed) meet too.
+Texts that agree on a band's samples and their ``t`` meet in a bucket. The bucket's leader is the member that
 meets most others over all bands, which in a group of copies is the text they
 were made from or one near it. Every member is compared with the leader by the
 exact weighted Jaccard similarity; the plain similarity of the sets of elements
@@ -175,6 +176,19 @@ def samples(runs: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
     return mixed(out)
 
 
+# what a sample minimises where every weight is one: t is 0
+_PLAIN = _LOG_C + _R * _B - _R
+
+
+def plain_samples(runs: np.ndarray, count: int) -> np.ndarray:
+    """As ``samples`` with unit weights, by other places of the table."""
+    out = np.zeros(count, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(count):
+            out[k] = runs[np.argmin(_PLAIN[(runs * _ODD[128 + k]) >> np.uint64(48)])]
+    return mixed(out)
+
+
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Inverse document frequency of each place; the collected table has BUCKETS rows at most."""
 
@@ -238,9 +252,9 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
                 if not len(runs):
                     keys.append([])
                     continue
-                s = samples(runs, weights, bands * rows).reshape(bands, rows)
+                s = np.r_[samples(runs, weights, bands * rows), plain_samples(runs, bands * rows)].reshape(2 * bands, rows)
                 with np.errstate(over="ignore"):
-                    band = mixed((s * _ODD[:rows]).sum(axis=1) + _ODD[100 : 100 + bands])
+                    band = mixed((s * _ODD[:rows]).sum(axis=1) + _ODD[100 : 100 + 2 * bands])
                 keys.append(band.view(np.int64).tolist())
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"], "bands": keys})
 

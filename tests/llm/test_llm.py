@@ -190,6 +190,14 @@ def test_near_copies(spark):
     assert kept.columns == base.DOC_COLUMNS
 
 
+def test_repeated_bodies_meet(spark):
+    rng = np.random.default_rng(8)
+    bodies = [" ".join(f"w{i}" for i in rng.integers(0, 4000, 120)) for _ in range(12)]
+    texts = [t for body in bodies for t in (body, " ".join([body] * 5))]
+    got = {r.doc_id: r.class_id for r in neardup.near_classes(docs_of(spark, texts)).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_licenses(spark):
     texts = ["x\nLicensed under the Apache License, Version 2.0.\ny", "released under MIT License", "version of the license", None]
     got = {r.doc_id: (r.license, r.start, r.end) for r in licenses.scan(docs_of(spark, texts)).collect()}
