@@ -1,9 +1,12 @@
 """Secrets by corpus-wide ownership frequency, in DataFrame functions only.
 
 Candidates are the base kinds (assign, access, hex) and wider forms of known keys.
-Their hashes are counted over distinct repositories and owners of the whole corpus.
-A candidate seen with at most ``max_owners`` owners that looks random is "live"; one
-that more owners share is an example. Base spans always stay; a wide candidate that
+Their hashes are counted over distinct repositories and owners of the whole corpus,
+where a text that stands in several places counts once, with its least owner and
+repository: copying a document does not make its keys examples. A candidate is an
+example if it has more than ``max_owners`` owners and more than ``max_repositories``
+repositories (two and three: a text slightly changed elsewhere is still one leak);
+one that is no example and looks random is "live". Base spans always stay; a wide candidate that
 is live and lies in no base span adds a span of kind ``live``.
 
 Documents have no repository column: the owner is ``source`` and the repository is
@@ -48,37 +51,46 @@ def looks_random(value: Column) -> Column:
 
 
 def scan(
-    docs: DataFrame, keep: list[str], owner: Column, repository: Column, max_owners: int = 1
+    docs: DataFrame, keep: list[str], owner: Column, repository: Column, max_owners: int = 2, max_repositories: int = 3
 ) -> DataFrame:
-    """``keep`` columns, base spans, all spans, and the number of live and shared candidates."""
+    """``keep`` columns, base spans, all spans, the number of live and shared candidates, and the counts of each."""
     docs = docs.withColumn("text", whole_text(docs))
     found = written(
         docs.select(
             *keep,
             F.coalesce(owner.cast("string"), F.lit("")).alias("owner_"),
             F.coalesce(repository.cast("string"), F.lit("")).alias("repository_"),
+            F.sha2(F.col("text").cast("binary"), 256).alias("text_"),
             candidates(F.col("text")).alias("found_"),
         ).withColumn("row_", F.monotonically_increasing_id()),
         "secrets",
     )
     some = (
         found.where(F.size("found_") > 0)
-        .select("row_", "owner_", "repository_", F.explode("found_").alias("s"))
+        .select("row_", "text_", "owner_", "repository_", F.explode("found_").alias("s"))
         .withColumn("hash", F.sha2(F.col("s.inner"), 256))
     )
     spread = (
-        some.groupBy("hash", "owner_", "repository_").agg(F.count("*").alias("n"))
+        # every copy of a text has the same candidates, so this is the text's least owner for all of them
+        some.groupBy("hash", "text_").agg(F.min(F.struct("owner_", "repository_")).alias("first"))
+        .groupBy("hash", "first.owner_", "first.repository_").agg(F.count("*").alias("n"))
         .groupBy("hash", "owner_").agg(F.count("*").alias("repositories"))
         .groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
     )
     judged = some.join(spread, "hash").select(
         "row_", "s", "owners", "repositories",
-        ((F.col("owners") <= max_owners) & looks_random(F.col("s.inner"))).alias("live"),
+        (
+            ((F.col("owners") <= max_owners) | (F.col("repositories") <= max_repositories))
+            & looks_random(F.col("s.inner"))
+        ).alias("live"),
     )
     by_row = judged.groupBy("row_").agg(
         F.collect_list(F.when(F.col("live"), F.col("s"))).alias("live_"),
         F.count(F.when(F.col("live"), 1)).alias("n_live"),
         F.count(F.when(~F.col("live"), 1)).alias("n_shared"),
+        F.collect_list(
+            F.struct("s.at", "s.end", "s.kind", "owners", "repositories")
+        ).alias("spread_"),
     )
     base = in_order(F.filter("found_", lambda s: s["kind"] != "live"), KINDS)
     out = found.join(by_row, "row_", "left").withColumn("base_", base)
@@ -91,6 +103,7 @@ def scan(
         *keep, "base_", "spans_",
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
         F.coalesce("n_shared", F.lit(0)).alias("n_shared"),
+        F.array_sort("spread_").alias("spread_"),
     )
 
 
@@ -108,6 +121,13 @@ def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.col("spans_")).alias("spans"),
         "n_live",
         "n_shared",
+        # kind:start:end:owners:repositories of every candidate, by place
+        F.coalesce(
+            F.array_join(
+                F.transform("spread_", lambda c: F.concat_ws(":", c["kind"], c["at"], c["end"], c["owners"], c["repositories"])), ","
+            ),
+            F.lit(""),
+        ).alias("ownership"),
     )
 
 

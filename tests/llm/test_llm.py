@@ -128,6 +128,22 @@ def test_secret_spans(spark):
     assert cleaned[0] == 'x [secret]" y' and cleaned[5] == "" and cleaned[6] == '[secret]"'
 
 
+def test_copies_do_not_share_a_secret(spark):
+    one, wide = "ghp_" + "a1B2c3D4e5F6" * 3, "sk_live_" + "9z8Y7x6W5v4U" * 2
+    texts = ["copied " + one] * 6 + [f"text {i} with {wide}" for i in range(8)]
+    docs = spark.createDataFrame([(i, t, f"l{i % 2}", f"src{i % 4}", len(t), "x") for i, t in enumerate(texts)], DOCS)
+    found = {r.doc_id: r for r in secrets.scan(docs, ["doc_id"], *secrets._owner(docs)).collect()}
+    for i in range(6):
+        assert [(s.kind, s.at) for s in found[i].spans_] == [("live", 7)] and (found[i].n_live, found[i].n_shared) == (1, 0)
+        assert [(c.owners, c.repositories) for c in found[i].spread_] == [(1, 1)]
+    for i in range(6, 14):
+        assert found[i].spans_ == [] and (found[i].n_live, found[i].n_shared) == (0, 1)
+        assert [(c.owners, c.repositories) for c in found[i].spread_] == [(4, 4)]
+    # three owners in three repositories are not yet widely copied; a fourth repository decides
+    some = docs.where("doc_id in (6, 7, 8)")
+    assert [r.n_live for r in secrets.scan(some, ["doc_id"], *secrets._owner(some)).collect()] == [1, 1, 1]
+
+
 def test_personal_data_spans(spark):
     texts = ["é a.b@c.d_x@y.z 1.2.3.4 1.2.3.256", "4524132264652876 4524132264652877", "+1 (988) 555-2485.", None, "9" * 5000]
     found = pii.scan(docs_of(spark, texts)).collect()
