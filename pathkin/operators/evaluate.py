@@ -7,23 +7,23 @@ from pyspark.sql import functions as F
 
 from pathkin.domain import Domain
 from pathkin.functions.scalars import COMPLETED, zero_safe_div
+from pathkin.operators.facts import Facts, facts_of
 from pathkin.operators.features import members
 from pathkin.operators.relational import running_totals, top_k
 from pathkin.params import Params
 
 
-def popular_courses(domain: Domain, params: Params = Params()) -> DataFrame:
+def popular_courses(domain: Domain | Facts, params: Params = Params()) -> DataFrame:
     """dept, item, n, rank: the most completed courses of each department."""
     counts = (
-        domain.courses.select("std_no", "dept", "course")
-        .distinct()
+        facts_of(domain).taken
         .groupBy("dept", F.col("course").alias("item"))
         .agg(F.count("*").alias("n"))
     )
     return top_k(counts, ["dept"], [F.col("n").desc(), F.col("item")], params.truth_items)
 
 
-def popular_programmes(domain: Domain, params: Params = Params()) -> DataFrame:
+def popular_programmes(domain: Domain | Facts, params: Params = Params()) -> DataFrame:
     """dept, item, n, rank: the most completed programmes of each department."""
     enrolled = (
         domain.enrolments.filter(F.col("state") == COMPLETED)
@@ -38,7 +38,7 @@ def popular_programmes(domain: Domain, params: Params = Params()) -> DataFrame:
     return top_k(counts, ["dept"], [F.col("n").desc(), F.col("item")], params.truth_items)
 
 
-def truth_for(domain: Domain, users: DataFrame, params: Params = Params()) -> DataFrame:
+def truth_for(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
     """query_std, item: the popular courses of each query student's department."""
     asking = members(domain).join(users.select("std_no"), "std_no", "left_semi")
     return (
@@ -86,11 +86,16 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
 
 
 def confusion_matrix(counts: DataFrame, classes: list) -> DataFrame:
-    """One row per label, one column per class; the classes are given, not searched for."""
+    """One row per label, one column per class and one, ``pred_other``, for all other predictions.
+
+    The classes are given, not searched for; a null prediction counts as other.
+    """
     cells = [
         F.coalesce(F.sum(F.when(F.col("prediction") == c, F.col("n"))), F.lit(0)).alias(f"pred_{c}")
         for c in classes
     ]
+    known = F.coalesce(F.col("prediction").isin(classes), F.lit(False))
+    cells.append(F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("pred_other"))
     return counts.groupBy("label").agg(*cells)
 
 

@@ -2,8 +2,9 @@
 
 Features stay in long form: one row per entry a student really has, never one
 per student and possible item. Every missing entry has the same fill value, which
-the similarity operators account for in closed form. Dense arrays are built only
-for the saved feature table.
+the similarity operators account for in closed form. Vectors are sparse: a size,
+ascending positions and their values. Positions come from a distributed numbering
+of each department's features. Dense arrays are built for asking students only.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pathkin.functions.scalars import (
     COURSE_STAR,
     PROGRAMME_STAR,
     TITLE_CODES,
-    star_units,
     units_mean,
 )
-from pathkin.operators.relational import mark_members, outer_join_all, spread_join, top_k
+from pathkin.operators.facts import Facts, facts_of
+from pathkin.operators.relational import numbered, outer_join_all, spread_join
 from pathkin.params import Params
 
 COURSE, AREA, CODE, TITLE = "course", "area", "act_code", "act_title"
@@ -28,37 +29,33 @@ KINDS = [COURSE, AREA, CODE, TITLE]
 UNKNOWN_AREA = "__unknown__"
 
 
-def members(domain: Domain) -> DataFrame:
+def members(domain: Domain | Facts) -> DataFrame:
     """dept, std_no: students with a completed course in the department."""
     known = F.col("dept").isNotNull() & F.col("std_no").isNotNull()
-    return domain.courses.filter(known).select("dept", "std_no").distinct()
+    return facts_of(domain).taken.filter(known).select("dept", "std_no").distinct()
 
 
-def course_universe(domain: Domain) -> DataFrame:
+def course_universe(domain: Domain | Facts) -> DataFrame:
     """dept, course: every course somebody of the department completed."""
     known = F.col("dept").isNotNull() & F.col("course").isNotNull()
-    return domain.courses.filter(known).select("dept", "course").distinct()
+    return facts_of(domain).taken.filter(known).select("dept", "course").distinct()
 
 
-def cohort(domain: Domain, users: DataFrame, params: Params = Params()) -> DataFrame:
+def cohort(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
     """query_std, dept, std_no: everybody in the query student's department."""
     people = members(domain)
     asking = people.join(users.select("std_no"), "std_no", "left_semi").select(
         "dept", F.col("std_no").alias("query_std")
     )
-    pairs = spread_join(people, asking, ["dept"], ["std_no"])
-    if params.cohort_cap is not None:
-        pairs = top_k(pairs, ["query_std"], [F.col("std_no")], params.cohort_cap).drop("rank")
-    return pairs.select("query_std", "dept", "std_no")
+    return spread_join(people, asking, ["dept"], ["std_no"]).select("query_std", "dept", "std_no")
 
 
-def _star_per_item(domain: Domain, kind: str, params: Params) -> DataFrame:
-    """std_no, item, units, n: stars of one student for one item, summed exactly."""
-    units = star_units(F.col("star"))
-    grouped = domain.ratings.filter(F.col("kind") == kind).groupBy("std_no", "item")
+def _star_per_item(domain: Domain | Facts, kind: str, params: Params) -> DataFrame:
+    """std_no, item, units, n: stars of one student for one item; null stars don't count."""
+    stars = facts_of(domain).stars.filter((F.col("kind") == kind) & (F.col("rated") > 0))
     if params.duplicate_star == "max":
-        return grouped.agg(F.max(units).alias("units"), F.lit(1).cast("bigint").alias("n"))
-    return grouped.agg(F.sum(units).alias("units"), F.count("*").alias("n"))
+        return stars.select("std_no", "item", F.col("top").alias("units"), F.lit(1).cast("bigint").alias("n"))
+    return stars.select("std_no", "item", "units", F.col("rated").alias("n"))
 
 
 def _course_stars(domain: Domain, params: Params) -> DataFrame:
@@ -71,22 +68,17 @@ def _course_stars(domain: Domain, params: Params) -> DataFrame:
     )
 
 
-def _only_known_courses(domain: Domain, entries: DataFrame) -> DataFrame:
-    """Drop stars for courses nobody of the department completed; keep other kinds."""
-    known = course_universe(domain).select(
-        "dept", F.lit(COURSE).alias("kind"), F.col("course").alias("feature"), F.lit(True).alias("_k")
-    )
-    return (
-        entries.join(known, ["dept", "kind", "feature"], "left")
-        .filter((F.col("kind") != COURSE) | F.col("_k"))
-        .drop("_k")
-    )
+def course_entries(domain: Domain | Facts, params: Params = Params()) -> DataFrame:
+    """dept, std_no, feature, value: mean star per rated course of the department.
 
-
-def course_entries(domain: Domain, params: Params = Params()) -> DataFrame:
-    """dept, std_no, feature, value: mean star per rated course of the department."""
+    Stars for courses nobody of the department completed are dropped. A course may be
+    everybody's, so entries are dealt over buckets of each course.
+    """
     rated = _course_stars(domain, params).join(members(domain), "std_no")
-    return _only_known_courses(domain, rated).select("dept", "std_no", "feature", "value")
+    known = course_universe(domain).withColumnRenamed("course", "feature")
+    return spread_join(rated, known, ["dept", "feature"], ["std_no"], "left_semi").select(
+        "dept", "std_no", "feature", "value"
+    )
 
 
 def course_entries_three_state(domain: Domain, params: Params = Params()) -> DataFrame:
@@ -96,7 +88,7 @@ def course_entries_three_state(domain: Domain, params: Params = Params()) -> Dat
     and completions are stacked and grouped once.
     """
     rated = course_entries(domain, params)
-    taken = domain.courses.select(
+    taken = facts_of(domain).taken.filter("dept is not null and course is not null").select(
         "dept", "std_no", F.col("course").alias("feature"), F.lit(None).cast("double").alias("value")
     )
     merged = (
@@ -119,7 +111,8 @@ def _area_stars(domain: Domain, params: Params) -> DataFrame:
     shuffles carry partial sums.
     """
     infos = domain.programmes.select(F.col("programme").alias("item"), "area").distinct()
-    with_area = _star_per_item(domain, PROGRAMME_STAR, params).join(infos, "item", "left")
+    stars = _star_per_item(domain, PROGRAMME_STAR, params)
+    with_area = spread_join(stars, infos, ["item"], ["std_no"], "left")
     if params.drop_unknown_area:
         with_area = with_area.filter(F.col("area").isNotNull())
     return (
@@ -143,27 +136,22 @@ def area_entries(domain: Domain, params: Params = Params()) -> DataFrame:
     )
 
 
-def _activity_rows(domain: Domain, params: Params) -> DataFrame:
-    rows = domain.activities.select("std_no", "act_type", "title")
-    return rows if params.count_activity_rows else rows.distinct()
-
-
-def _activity_values(domain: Domain, params: Params) -> DataFrame:
+def _activity_values(domain: Domain | Facts, params: Params) -> DataFrame:
     """std_no, kind, feature, value: participation counts and title flags.
 
-    One grouping serves both: codes 03-05 are counted, certificate and language
-    titles give a flag of 1 however often they occur.
+    One grouping serves both: codes 03-05 are counted (each title once, or each row),
+    certificate and language titles give a flag of 1 however often they occur.
     """
     is_title = F.col("act_type").isin(TITLE_CODES)
     return (
-        _activity_rows(domain, params)
+        facts_of(domain).acts
         .filter(F.col("act_type").isin(TITLE_CODES + COUNT_CODES))
         .groupBy(
             "std_no",
             F.when(is_title, TITLE).otherwise(CODE).alias("kind"),
             F.when(is_title, F.col("title")).otherwise(F.col("act_type")).alias("feature"),
         )
-        .agg(F.count("*").alias("n"))
+        .agg((F.sum("n") if params.count_activity_rows else F.count("*")).alias("n"))
         .select(
             "std_no",
             "kind",
@@ -182,17 +170,13 @@ def activity_entries(domain: Domain, params: Params = Params()) -> DataFrame:
     )
 
 
-def all_entries(domain: Domain, params: Params = Params()) -> DataFrame:
+def all_entries(domain: Domain | Facts, params: Params = Params()) -> DataFrame:
     """dept, std_no, kind, feature, value over all feature kinds.
 
     Every member also has one row with kind null, so members without any entry
-    stay visible. The kinds are stacked before the single join with the members.
+    stay visible. Only course stars go through the join with the known courses.
     """
-    stacked = (
-        _course_stars(domain, params)
-        .unionByName(_area_stars(domain, params))
-        .unionByName(_activity_values(domain, params))
-    )
+    others = _area_stars(domain, params).unionByName(_activity_values(domain, params))
     people = members(domain)
     blank = people.select(
         "dept",
@@ -201,125 +185,129 @@ def all_entries(domain: Domain, params: Params = Params()) -> DataFrame:
         F.lit(None).cast("string").alias("feature"),
         F.lit(None).cast("double").alias("value"),
     )
-    placed = stacked.join(people, "std_no").select("dept", "std_no", "kind", "feature", "value")
-    return _only_known_courses(domain, placed).unionByName(blank)
-
-
-def took_flags(domain: Domain) -> DataFrame:
-    """std_no, dept, course, took: 1 or 0 for every course of the student's department."""
-    return mark_members(
-        _every_course(domain), domain.courses, ["dept", "std_no", "course"], "took"
+    columns = ["dept", "std_no", "kind", "feature", "value"]
+    courses = course_entries(domain, params).withColumn("kind", F.lit(COURSE))
+    return (
+        courses.select(*columns)
+        .unionByName(others.join(people, "std_no").select(*columns))
+        .unionByName(blank)
     )
 
 
-def _every_course(domain: Domain) -> DataFrame:
-    """dept, std_no, course: each student against the courses of the department.
+# ---- sparse vectors -----------------------------------------------------------------
 
-    The course list of a department is bounded by its catalogue, so it travels as
-    one array per department and is unfolded next to each student.
-    """
-    lists = course_universe(domain).groupBy("dept").agg(F.collect_list("course").alias("_list"))
-    return spread_join(members(domain), lists, ["dept"], ["std_no"]).select(
-        "dept", "std_no", F.explode("_list").alias("course")
-    )
 
+def positions(universe: DataFrame) -> DataFrame:
+    """dept, feature, position: the features of a department numbered from 1 in text order."""
+    known = universe.select("dept", "feature").filter("dept is not null and feature is not null")
+    return numbered(known.distinct(), ["dept"], ["feature"])
 
-def densify_courses(domain: Domain, params: Params = Params()) -> DataFrame:
-    """dept, std_no, course, value with the fill value where there is no star."""
-    return (
-        _every_course(domain)
-        .join(
-            course_entries(domain, params).withColumnRenamed("feature", "course"),
-            ["dept", "std_no", "course"],
-            "left",
-        )
-        .withColumn("value", F.coalesce("value", F.lit(params.fill)))
-    )
 
+def sparse_vectors(entries: DataFrame, people: DataFrame | None, places: DataFrame, out: str) -> DataFrame:
+    """dept, std_no and ``out``: struct(size, positions, values), positions ascending from 1.
 
-def _dense(
-    entries: DataFrame,
-    people: DataFrame | None,
-    universe: DataFrame,
-    out: str,
-    fill: float,
-    extra: list[Column] | None = None,
-) -> DataFrame:
-    """One array per student over the sorted features of the department.
-
-    ``universe`` has dept, features (sorted array). A student's own entries form a
-    map no larger than that array; ``extra`` adds sums over the same grouping.
-    Entries with ``feature`` null are left to ``extra``. Without ``people`` only
-    students with entries get a row.
+    ``entries`` has dept, std_no, feature, value; ``places`` dept, feature, position. A
+    list holds one student's own entries, whatever the size of the department.
+    Without ``people`` only students with entries get a row.
     """
-    entry = F.when(F.col("feature").isNotNull(), F.struct("feature", "value"))
-    own = entries.groupBy("dept", "std_no").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("_own"), *(extra or [])
-    )
-    dense = F.transform(
-        F.coalesce("features", F.array().cast("array<string>")),
-        lambda f: F.coalesce(F.try_element_at("_own", f), F.lit(fill)),
-    )
-    rows = own if people is None else people.join(own, ["dept", "std_no"], "left")
-    return (
-        spread_join(rows, universe, ["dept"], ["std_no"], "left")
-        .withColumn(out, dense)
-        .drop("features", "_own")
-    )
+    at = spread_join(entries, places, ["dept", "feature"], ["std_no"])
+    return _lined_up(at.select("dept", "std_no", "position", "value"), people, places, out)
 
 
-def _feature_lists(entries: DataFrame) -> DataFrame:
-    return (
-        entries.select("dept", "feature")
-        .distinct()
-        .groupBy("dept")
-        .agg(F.array_sort(F.collect_list("feature")).alias("features"))
+def _lined_up(at: DataFrame, people: DataFrame | None, places: DataFrame, out: str, first: int = 0) -> DataFrame:
+    """``at`` has dept, std_no, position, value; ``first`` positions stand before those of ``places``."""
+    pairs = F.array_sort(F.collect_list(F.struct("position", "value")))
+    own = at.groupBy("dept", "std_no").agg(pairs.alias("_own"))
+    sizes = places.groupBy("dept").agg((F.max("position") + first).alias("size"))
+    rows = own if people is None else people.join(own, ["dept", "std_no"], "left")
+    empty = F.array().cast("array<struct<position:bigint,value:double>>")
+    filled = F.coalesce("_own", empty)
+    return spread_join(rows, sizes, ["dept"], ["std_no"], "left").select(
+        "dept",
+        "std_no",
+        F.struct(
+            F.coalesce("size", F.lit(first)).cast("bigint").alias("size"),
+            F.transform(filled, lambda e: e["position"]).alias("positions"),
+            F.transform(filled, lambda e: e["value"]).alias("values"),
+        ).alias(out),
     )
 
 
-def course_vectors(domain: Domain, params: Params = Params(), three_state: bool = False):
-    """dept, std_no, SUBJECT_STAR as a dense array."""
-    universe = _feature_lists(course_universe(domain).withColumnRenamed("course", "feature"))
+def course_vectors(domain: Domain | Facts, params: Params = Params(), three_state: bool = False):
+    """dept, std_no, SUBJECT_STAR over the courses of the department."""
+    places = positions(course_universe(domain).withColumnRenamed("course", "feature"))
     if three_state:
-        entries = course_entries_three_state(domain, params)
-        return _dense(entries, None, universe, "SUBJECT_STAR", 0.0)
-    entries = course_entries(domain, params)
-    return _dense(entries, members(domain), universe, "SUBJECT_STAR", params.fill)
+        return sparse_vectors(course_entries_three_state(domain, params), None, places, "SUBJECT_STAR")
+    return sparse_vectors(course_entries(domain, params), members(domain), places, "SUBJECT_STAR")
 
 
-def area_vectors(domain: Domain, params: Params = Params()) -> DataFrame:
-    """dept, std_no, NCR_STAR as a dense array."""
-    entries = area_entries(domain, params)
-    return _dense(entries, members(domain), _feature_lists(entries), "NCR_STAR", params.fill)
+def area_vectors(domain: Domain | Facts, params: Params = Params()) -> DataFrame:
+    """dept, std_no, NCR_STAR over the areas seen in the department."""
+    entries = facts_of(domain).keep_in_run(area_entries(domain, params), "areas")
+    return sparse_vectors(entries, members(domain), positions(entries), "NCR_STAR")
 
 
-def activity_vectors(domain: Domain, params: Params = Params()) -> DataFrame:
+def activity_vectors(domain: Domain | Facts, params: Params = Params()) -> DataFrame:
     """dept, std_no, ACTING_COUNT: three counts, then one flag per title."""
-    entries = activity_entries(domain, params)
+    entries = facts_of(domain).keep_in_run(activity_entries(domain, params), "activities")
     titles = entries.filter(F.col("kind") == TITLE)
-    counts = [
-        F.max(F.when((F.col("kind") == CODE) & (F.col("code") == c), F.col("value"))).alias(f"_{c}")
-        for c in COUNT_CODES
-    ]
-    split = entries.withColumn("code", F.col("feature")).withColumn(
-        "feature", F.when(F.col("kind") == TITLE, F.col("feature"))
+    places = positions(titles)
+    code = F.array_position(F.array(*[F.lit(c) for c in COUNT_CODES]), F.col("feature"))
+    counts = entries.filter(F.col("kind") == CODE).select("dept", "std_no", code.alias("position"), "value")
+    flags = spread_join(titles, places, ["dept", "feature"], ["std_no"]).select(
+        "dept", "std_no", (F.col("position") + len(COUNT_CODES)).alias("position"), "value"
     )
-    dense = _dense(split, members(domain), _feature_lists(titles), "_flags", params.fill, counts)
-    head = F.array(*[F.coalesce(f"_{c}", F.lit(0.0)) for c in COUNT_CODES])
-    return dense.select(
-        "dept",
-        "std_no",
-        F.concat(head, F.col("_flags")).cast("array<int>").alias("ACTING_COUNT"),
+    return _lined_up(counts.unionByName(flags), members(domain), places, "ACTING_COUNT", len(COUNT_CODES))
+
+
+def took_vectors(domain: Domain | Facts) -> DataFrame:
+    """dept, std_no, TOOK: value 1 at every completed course; all others mean 0."""
+    places = positions(course_universe(domain).withColumnRenamed("course", "feature"))
+    taken = facts_of(domain).taken.select(
+        "dept", "std_no", F.col("course").alias("feature"), F.lit(1.0).alias("value")
     )
+    return sparse_vectors(taken.distinct(), members(domain), places, "TOOK")
 
 
-def feature_table(domain: Domain, params: Params = Params()) -> DataFrame:
-    """dept, std_no and the three dense vectors, for the feature sink."""
+def feature_table(domain: Domain | Facts, params: Params = Params()) -> DataFrame:
+    """dept, std_no and the three sparse vectors of every member."""
     return outer_join_all(
-        [
-            course_vectors(domain, params),
-            area_vectors(domain, params),
-            activity_vectors(domain, params),
-        ],
+        [course_vectors(domain, params), area_vectors(domain, params), activity_vectors(domain, params)],
         ["dept", "std_no"],
     )
+
+
+def dense(vector: str | Column, fill: float, counted: int = 0) -> Column:
+    """The array of a sparse vector; the first ``counted`` positions are 0.0 where empty.
+
+    For few rows: an array is as long as the department's list of features.
+    """
+    v = F.col(vector) if isinstance(vector, str) else vector
+    own = F.map_from_arrays(v["positions"], v["values"])
+    every = F.sequence(F.lit(1).cast("bigint"), v["size"])
+    at = lambda p: F.coalesce(
+        F.try_element_at(own, p), F.when(p <= counted, F.lit(0.0)).otherwise(F.lit(fill))
+    )
+    return F.when(v["size"] > 0, F.transform(every, at)).otherwise(F.array().cast("array<double>"))
+
+
+def dense_features(vectors: DataFrame, users: DataFrame, params: Params = Params()) -> DataFrame:
+    """The stored form of ``feature_table`` for asking students: three dense arrays."""
+    asked = vectors.join(users.select("std_no").distinct(), "std_no", "left_semi")
+    return asked.select(
+        "dept",
+        "std_no",
+        dense("SUBJECT_STAR", params.fill).alias("SUBJECT_STAR"),
+        dense("NCR_STAR", params.fill).alias("NCR_STAR"),
+        dense("ACTING_COUNT", params.fill, len(COUNT_CODES)).cast("array<int>").alias("ACTING_COUNT"),
+    )
+
+
+def densify_courses(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
+    """dept, std_no, course, value of asking students, the fill value where there is no star."""
+    asked = members(domain).join(users.select("std_no").distinct(), "std_no", "left_semi")
+    every = spread_join(course_universe(domain), asked, ["dept"], ["course"])
+    stars = course_entries(domain, params).withColumnRenamed("feature", "course")
+    return every.join(stars, ["dept", "std_no", "course"], "left").select(
+        "dept", "std_no", "course", F.coalesce("value", F.lit(params.fill)).alias("value")
+    )

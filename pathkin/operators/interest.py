@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pathkin.domain import Domain
 from pathkin.functions.scalars import short_gender
+from pathkin.operators.facts import Facts, facts_of
 from pathkin.operators.relational import spread_join
 from pathkin.params import Params
 
@@ -17,7 +18,7 @@ def _only(df: DataFrame, users: DataFrame | None) -> DataFrame:
     return df if users is None else df.join(users.select("std_no"), "std_no", "left_semi")
 
 
-def applied_companies(domain: Domain, users: DataFrame | None = None) -> DataFrame:
+def applied_companies(domain: Domain | Facts, users: DataFrame | None = None) -> DataFrame:
     """std_no, reg_date, company of applications that were sent."""
     sent = (
         _only(domain.applications.filter(F.col("applied") == "Y"), users)
@@ -28,7 +29,7 @@ def applied_companies(domain: Domain, users: DataFrame | None = None) -> DataFra
     return sent.join(postings, "posting_id").select("std_no", "reg_date", "company")
 
 
-def searched_companies(domain: Domain, users: DataFrame | None = None) -> DataFrame:
+def searched_companies(domain: Domain | Facts, users: DataFrame | None = None) -> DataFrame:
     """std_no, reg_date, company of job searches."""
     return (
         _only(domain.searches, users)
@@ -38,20 +39,20 @@ def searched_companies(domain: Domain, users: DataFrame | None = None) -> DataFr
     )
 
 
-def same_group_companies(domain: Domain, users: DataFrame) -> DataFrame:
+def same_group_companies(domain: Domain | Facts, users: DataFrame) -> DataFrame:
     """std_no, company: employers of graduates of the student's department and gender."""
     wanted = (
         domain.students.join(users.select("std_no"), "std_no", "left_semi")
         .select("std_no", "dept", short_gender(F.col("gender")).alias("gender"))
         .distinct()
     )
-    employers = domain.graduates.select("dept", "gender", "company").distinct()
+    employers = facts_of(domain).graduates.select("dept", "gender", "company").distinct()
     return spread_join(employers, wanted, ["dept", "gender"], ["company"]).select(
         "std_no", "company"
     )
 
 
-def interest_bundle(domain: Domain, users: DataFrame) -> DataFrame:
+def interest_bundle(domain: Domain | Facts, users: DataFrame) -> DataFrame:
     """std_no, company, source: all three lists, tagged 1 applied, 2 searched, 3 same group."""
     lists = [
         (applied_companies(domain, users), APPLIED),
@@ -62,7 +63,7 @@ def interest_bundle(domain: Domain, users: DataFrame) -> DataFrame:
     return tagged[0].unionByName(tagged[1]).unionByName(tagged[2]).distinct()
 
 
-def interest_cascade(domain: Domain, users: DataFrame, params: Params = Params()) -> DataFrame:
+def interest_cascade(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
     """std_no, company, source of the lists a student needs to reach enough companies.
 
     Applications alone if there are enough; else searches too; else also the
@@ -80,6 +81,7 @@ def interest_cascade(domain: Domain, users: DataFrame, params: Params = Params()
         )
         .distinct()
     )
+    direct = facts_of(domain).keep_in_run(direct, "direct")
     sizes = direct.groupBy("std_no").agg(
         F.count_if(F.col("source") == APPLIED).alias("n1"),
         F.count("*").alias("n12"),
@@ -108,7 +110,7 @@ def interest_cascade(domain: Domain, users: DataFrame, params: Params = Params()
 
 
 def company_graduates(
-    domain: Domain, chosen: DataFrame, keep: list[str] = [], by_graduate: bool = False
+    domain: Domain | Facts, chosen: DataFrame, keep: list[str] = [], by_graduate: bool = False
 ) -> DataFrame:
     """query_std, company, std_no: graduates of each chosen company.
 
@@ -117,7 +119,7 @@ def company_graduates(
     ``by_graduate`` places the distinct pairs before the join, so that the larger
     result needs no further shuffle if ``chosen`` is small enough to be broadcast.
     """
-    people = domain.graduates.select("std_no", "company").distinct()
+    people = facts_of(domain).graduates.select("std_no", "company").distinct()
     if by_graduate:
         people = people.repartition("std_no")
     chosen = chosen.select(F.col("std_no").alias("query_std"), "company", *keep)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pathkin.domain import Domain
 from pathkin.functions.scalars import COMPLETED, COUNT_CODES, TITLE_CODES, int_div
+from pathkin.operators.facts import Facts, facts_of
 from pathkin.operators.relational import top_k
 from pathkin.operators.similarity import similarity
 from pathkin.operators.trust import content_trust, user_trust
@@ -59,62 +60,72 @@ def nearest(blended: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
-def neighbours(domain: Domain, users: DataFrame, params: Params = Params()) -> DataFrame:
-    return nearest(
+def neighbours(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
+    people = nearest(
         blend(user_trust(domain, users, params), similarity(domain, users, params), params), params
     )
+    return facts_of(domain).keep_in_run(people, "neighbours")
 
 
-def _done(domain: Domain, completed_only: bool) -> DataFrame:
-    """std_no, what, item: distinct courses and programmes of each student."""
-    enrolled = domain.enrolments.select("std_no", "enrol_id", "programme", "state").distinct()
-    if completed_only:
-        enrolled = enrolled.filter(F.col("state") == COMPLETED)
-    return (
-        domain.courses.select("std_no", "dept", "course")
+def doings(domain: Domain | Facts, people: DataFrame) -> DataFrame:
+    """std_no, what, item, done, n of the given people (std_no, distinct).
+
+    Distinct courses and enrolments count once; ``done`` is false for enrolments that
+    are not completed. Titles of codes 01-02 and the codes 03-05 count all rows. The
+    people come first, so each table is read once and only their rows go on.
+    """
+    facts = facts_of(domain)
+    code = F.col("act_type")
+    one = F.lit(1).cast("bigint").alias("n")
+    yes = F.lit(True).alias("done")
+    courses = facts.taken.join(people, "std_no").select(
+        "std_no", F.lit(COURSE).alias("what"), F.col("course").alias("item"), yes, one
+    )
+    programmes = (
+        facts.enrolments.join(people, "std_no")
+        .select("std_no", "enrol_id", "programme", "state")
         .distinct()
-        .select("std_no", F.lit(COURSE).alias("what"), F.col("course").alias("item"))
-        .unionByName(
-            enrolled.select("std_no", F.lit(PROGRAMME).alias("what"), F.col("programme").alias("item"))
+        .select(
+            "std_no", F.lit(PROGRAMME).alias("what"), F.col("programme").alias("item"),
+            F.coalesce(F.col("state") == COMPLETED, F.lit(False)).alias("done"), one,
         )
     )
+    activities = (
+        facts.acts.filter(code.isin(TITLE_CODES + COUNT_CODES))
+        .join(people, "std_no")
+        .select("std_no", code.alias("what"), F.when(code.isin(TITLE_CODES), F.col("title")).otherwise(code).alias("item"), yes, "n")
+    )
+    return courses.unionByName(programmes).unionByName(activities)
 
 
-def _activities(domain: Domain) -> DataFrame:
-    """std_no, what, item: titles for codes 01-02, the code itself for 03-05."""
-    code = F.col("act_type")
-    return domain.activities.filter(code.isin(TITLE_CODES + COUNT_CODES)).select(
-        "std_no",
-        code.alias("what"),
-        F.when(code.isin(TITLE_CODES), F.col("title")).otherwise(code).alias("item"),
-    )
+def _doings_of_all(domain: Domain | Facts, people: DataFrame, users: DataFrame) -> DataFrame:
+    involved = people.select("std_no").unionByName(users.select("std_no")).distinct()
+    return facts_of(domain).keep_in_run(doings(domain, involved), "doings")
 
 
-def item_counts(domain: Domain, people: DataFrame) -> DataFrame:
+def item_counts(done: DataFrame, people: DataFrame) -> DataFrame:
     """query_std, what, item, n, k: how often the k neighbours did each thing.
 
-    All kinds of items go through one join with the neighbours and one grouping.
-    Neighbours are at most k rows per query student, so the join is trimmed early.
+    Neighbours are at most k rows per query student; one join and one grouping serve
+    all kinds of items.
     """
-    done = _done(domain, completed_only=True).unionByName(_activities(domain))
     return (
-        done.join(people.select("query_std", "std_no", "k"), "std_no")
+        done.filter("done")
+        .join(people.select("query_std", "std_no", "k"), "std_no")
         .groupBy("query_std", "what", "item")
-        .agg(F.count("*").alias("n"), F.max("k").alias("k"))
+        .agg(F.sum("n").alias("n"), F.max("k").alias("k"))
     )
 
 
-def exclude_own(
-    domain: Domain, counts: DataFrame, users: DataFrame, params: Params = Params()
-) -> DataFrame:
+def exclude_own(done: DataFrame, counts: DataFrame, users: DataFrame, params: Params = Params()) -> DataFrame:
     """Take out courses and programmes the query student already has.
 
     "anti" removes the item; "multiset" lowers its count by one, as a bag
     difference does.
     """
     own = (
-        _done(domain, completed_only=False)
-        .join(users.select("std_no"), "std_no", "left_semi")
+        done.filter(F.col("what").isin(COURSE, PROGRAMME))
+        .join(users.select("std_no").distinct(), "std_no")
         .select(F.col("std_no").alias("query_std"), "what", "item")
         .distinct()
     )
@@ -129,7 +140,7 @@ def exclude_own(
     )
 
 
-def weigh(domain: Domain, counts: DataFrame) -> DataFrame:
+def weigh(domain: Domain | Facts, counts: DataFrame) -> DataFrame:
     """Add ``score``: count times mean star for courses and programmes, else the count."""
     stars = content_trust(domain)
     weight = F.when(F.col("what").isin(COURSE, PROGRAMME), F.coalesce("star", F.lit(1.0)))
@@ -144,10 +155,11 @@ def weigh(domain: Domain, counts: DataFrame) -> DataFrame:
 
 
 def ranked_items(
-    domain: Domain, people: DataFrame, users: DataFrame, params: Params = Params()
+    domain: Domain | Facts, people: DataFrame, users: DataFrame, params: Params = Params()
 ) -> DataFrame:
     """query_std, what, item, n, k, score, rank: the best items of each kind."""
-    counts = exclude_own(domain, item_counts(domain, people), users, params)
+    done = _doings_of_all(domain, people, users)
+    counts = exclude_own(done, item_counts(done, people), users, params)
     order = [F.col("score").desc(), F.col("item")]
     return top_k(weigh(domain, counts), ["query_std", "what"], order, params.max_items)
 
@@ -156,14 +168,15 @@ def _mean_participation(params: Params) -> Column:
     return F.col("n") / F.col("k") if params.exact_activity else int_div(F.col("n"), F.col("k"))
 
 
-def participation(domain: Domain, people: DataFrame, params: Params = Params()) -> DataFrame:
+def participation(domain: Domain | Facts, people: DataFrame, params: Params = Params()) -> DataFrame:
     """query_std, what, n, mean_n: mean participation of the neighbours per code."""
-    counts = item_counts(domain, people).filter(F.col("what").isin(COUNT_CODES))
+    near = people.select("std_no").distinct()
+    counts = item_counts(doings(domain, near), people).filter(F.col("what").isin(COUNT_CODES))
     return counts.select("query_std", "what", "n", _mean_participation(params).alias("mean_n"))
 
 
 def assemble(
-    domain: Domain, people: DataFrame, users: DataFrame, params: Params = Params()
+    domain: Domain | Facts, people: DataFrame, users: DataFrame, params: Params = Params()
 ) -> DataFrame:
     """query_std, Rank and one column per kind of recommendation.
 
@@ -179,6 +192,6 @@ def assemble(
     return rows.groupBy("query_std", F.col("rank").alias("Rank")).agg(*columns)
 
 
-def recommend(domain: Domain, users: DataFrame, params: Params = Params()) -> DataFrame:
+def recommend(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
     """The whole recommendation for a frame of query students (column std_no)."""
     return assemble(domain, neighbours(domain, users, params), users, params)

@@ -34,6 +34,49 @@ def spread_join(
     return dealt.join(repeated, [*on, "_bucket"], how).drop("_bucket")
 
 
+def hot_keys(df: DataFrame, on: list[str], share: float = 0.01, tracked: int = 4096) -> list[int]:
+    """Hashes of the keys that hold at least ``share`` of the rows, most frequent first.
+
+    One pass with a frequent-items sketch of ``tracked`` counters, merged over the
+    tasks: its size does not depend on the data. The sketch misses no key that holds
+    more than about 1 / (0.75 * tracked) of the rows. At most 1 / share hashes return.
+    """
+    most = int(1 / share)
+    found = df.agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(xxhash64({', '.join(on)}), {most}, {tracked})").alias("top")
+    ).first()
+    return [t["item"] for t in found["top"] or [] if t["count"] >= share * found["n"]]
+
+
+def hot_join(
+    big: DataFrame,
+    small: DataFrame,
+    on: list[str],
+    spread_by: list[str],
+    how: str = "inner",
+    buckets: int = 64,
+    share: float = 0.01,
+    hot: list[int] | None = None,
+) -> DataFrame:
+    """Join that deals only the keys measured to be hot over ``buckets``.
+
+    Rows of a hot key go to a bucket by a hash of ``spread_by`` and the key's rows of
+    ``small`` are repeated once per bucket; all other keys keep one bucket and one
+    copy. Null keys join nothing. ``big`` is read once more for the measurement, so
+    pass a stored frame, or the hashes themselves as ``hot``. ``how`` may be inner,
+    left, left_semi or left_anti.
+    """
+    hot = hot_keys(big, on, share) if hot is None else hot
+    if not hot:
+        return big.join(small, on, how)
+    is_hot = F.xxhash64(*[F.col(c) for c in on]).isin(hot)
+    bucket = F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(buckets))).otherwise(0).cast("int")
+    last = F.when(is_hot, buckets - 1).otherwise(0)
+    dealt = big.withColumn("_bucket", bucket)
+    repeated = small.withColumn("_bucket", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.join(repeated, [*on, "_bucket"], how).drop("_bucket")
+
+
 def mark_members(df: DataFrame, members: DataFrame, on: list[str], flag: str, yes=1, no=0):
     """Add ``flag`` = ``yes`` where the key occurs in ``members``, else ``no``."""
     keys = members.select(*on).distinct().withColumn("_hit", F.lit(True))
@@ -74,26 +117,41 @@ def frequency(df: DataFrame, by: list[str], item: str) -> DataFrame:
 
 
 def multiset_minus(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Bag difference: each right row cancels one equal left row."""
-    return left.exceptAll(right.select(*left.columns))
+    """Bag difference as a counted bag: the columns of ``left`` and ``n``.
+
+    Each right row cancels one equal left row. Only counts are subtracted, in one
+    grouping with partial sums, so the copies of a row are never written out again.
+    Nulls are equal to each other.
+    """
+    signed = left.withColumn("n", F.lit(1)).unionByName(right.select(*left.columns).withColumn("n", F.lit(-1)))
+    return signed.groupBy(*left.columns).agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
 
 
-def bounded_lists(df: DataFrame, key: list[str], value: str, out: str, max_len: int = 50_000):
-    """Collect values per key into lists of about ``max_len``, as many as needed.
+def numbered(df: DataFrame, key: list[str], order: list[str], out: str = "position") -> DataFrame:
+    """Number the rows of every key from 1, in ascending order of ``order``.
 
-    A key with few values gives one list (part 0). A hot key is cut into parts by
-    a hash of the value, so no task ever holds a whole hot group and no value is
-    lost.
+    Rows are range-partitioned by key and order, so a hot key lies in many slabs that
+    are numbered side by side; the rows of the key in earlier slabs are then added.
+    Slabs are checkpointed once, since their numbers must not change under
+    recomputation. Only keys that go on from an earlier slab have an offset: no more
+    rows than there are slabs, whatever the data size.
     """
-    parts = df.groupBy(*key).agg(
-        F.ceil(F.count("*") / F.lit(max_len)).cast("bigint").alias("_parts")
-    )
-    return (
-        df.join(parts, key)
-        .withColumn("part", F.pmod(F.xxhash64(value), F.col("_parts")))
-        .groupBy(*key, "part")
-        .agg(F.array_sort(F.collect_list(value)).alias(out))
+    shared_dir(df.sparkSession)
+    slabs = df.repartitionByRange(*key, *order).withColumn("_slab", F.spark_partition_id()).checkpoint()
+    earlier = Window.partitionBy(*key).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        slabs.groupBy("_slab", *key).agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.sum("_n").over(earlier))
+        .filter(F.col("_before") > 0)
+        .select("_slab", "_before", *[F.col(k).alias(f"_k_{k}") for k in key])
     )
+    inside = Window.partitionBy("_slab", *key).orderBy(*order)
+    placed = slabs.withColumn(out, F.row_number().over(inside))
+    same = placed["_slab"] == offsets["_slab"]
+    for k in key:
+        same = same & placed[k].eqNullSafe(offsets[f"_k_{k}"])
+    joined = placed.join(offsets, same, "left")
+    return joined.select(*[placed[c] for c in df.columns], (placed[out] + F.coalesce("_before", F.lit(0))).alias(out))
 
 
 def running_totals(

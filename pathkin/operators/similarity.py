@@ -30,9 +30,9 @@ from pathkin.operators.features import (
     all_entries,
     course_universe,
 )
-from pathkin.operators.relational import spread_join, top_k
+from pathkin.operators.facts import Facts, facts_of
+from pathkin.operators.relational import spread_join
 from pathkin.params import Params
-from pathkin.session import stage
 
 # Whole-number scale of star entries and of activity entries.
 STAR_SCALE = 10
@@ -49,7 +49,7 @@ def _fills(params: Params) -> dict[str, int]:
     }
 
 
-def quantised_entries(domain: Domain, params: Params = Params()) -> DataFrame:
+def quantised_entries(domain: Domain | Facts, params: Params = Params()) -> DataFrame:
     """dept, std_no, kind, feature, q."""
     scaled = F.when(
         F.col("kind").isin(ACTIVITY_KINDS), quantise(F.col("value"), ACTIVITY_SCALE)
@@ -59,7 +59,7 @@ def quantised_entries(domain: Domain, params: Params = Params()) -> DataFrame:
     )
 
 
-def universe_sizes(domain: Domain, entries: DataFrame) -> DataFrame:
+def universe_sizes(domain: Domain | Facts, entries: DataFrame) -> DataFrame:
     """dept, u_course, u_area, u_act_title, u_act_code: number of features per kind."""
     features = (
         course_universe(domain)
@@ -124,7 +124,7 @@ def _squares(k: str, f: int, side: str) -> Column:
 
 
 def similarity(
-    domain: Domain,
+    domain: Domain | Facts,
     users: DataFrame,
     params: Params = Params(),
     entries: DataFrame | None = None,
@@ -139,7 +139,7 @@ def similarity(
     """
     fills = _fills(params)
     if entries is None:
-        entries = stage(quantised_entries(domain, params), "entries")
+        entries = facts_of(domain).keep(quantised_entries(domain, params), "entries")
     profiles = _profiles(entries)
     query_side = (
         profiles.join(users.select("std_no"), "std_no", "left_semi")
@@ -150,8 +150,6 @@ def similarity(
         .join(universe_sizes(domain, entries), "dept")
     )
     pairs = spread_join(profiles, query_side, ["dept"], ["std_no"])
-    if params.cohort_cap is not None:
-        pairs = top_k(pairs, ["query_std"], [F.col("std_no")], params.cohort_cap).drop("rank")
     sums = pairs.join(_shared(entries, users), ["query_std", "dept", "std_no"], "left")
 
     total = lambda columns: reduce(lambda a, b: a + b, columns)

@@ -28,8 +28,6 @@ class Params:
     truth_items: int = 30
     # value of a feature a student has no entry for
     fill: float = -1.0
-    # optional workload limit on the cohort, by student number; None keeps everyone
-    cohort_cap: int | None = None
     # choices the source material leaves open
     exclude: str = "anti"  # "anti": never recommend a taken item; "multiset": cancel one copy
     include_self: bool = False  # may the query student be their own neighbour

@@ -12,8 +12,9 @@ from pathkin.operators import interest as it
 from pathkin.operators import recommend as rc
 from pathkin.operators import similarity as si
 from pathkin.operators import trust as tr
+from pathkin.operators.relational import hot_join
 from pathkin.params import Params
-from pathkin.plans.testdata import load_domain, query_students, table
+from pathkin.plans.testdata import gathered, load_domain, query_students, table
 from pathkin.session import stage
 
 QUERIES = {}
@@ -31,6 +32,12 @@ def _asking(spark: SparkSession, sf: str):
     return domain, stage(query_students(domain), "asking")
 
 
+def _in_run(spark: SparkSession, sf: str, make) -> DataFrame:
+    """``make(facts, asking)`` over facts gathered once; the run's tables are removed, its result stays."""
+    with gathered(spark, sf) as (facts, asking):
+        return stage(make(facts, asking), "result")
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, SIX) for c in columns})
 
@@ -109,12 +116,13 @@ def activity_score(spark, sf):
 
 @query
 def user_trust(spark, sf):
-    return _rounded(tr.user_trust(*_asking(spark, sf)), "trust")
+    return _rounded(_in_run(spark, sf, tr.user_trust), "trust")
 
 
 @query
 def user_trust_exact(spark, sf):
-    return _rounded(tr.user_trust(*_asking(spark, sf), Params(exact_activity=True)), "trust")
+    exact = Params(exact_activity=True)
+    return _rounded(_in_run(spark, sf, lambda facts, asking: tr.user_trust(facts, asking, exact)), "trust")
 
 
 # ---- features -----------------------------------------------------------------------------
@@ -125,42 +133,59 @@ def cohort(spark, sf):
     return fe.cohort(*_asking(spark, sf))
 
 
-def _vector_text(df: DataFrame, column: str, scale: int) -> DataFrame:
-    whole = F.transform(column, lambda v: quantise(v, scale).cast("string"))
-    return df.withColumn(column, F.array_join(whole, ","))
+def _entries_text(df: DataFrame, column: str, scale: int) -> DataFrame:
+    """A sparse vector as ``size|position:value,...`` with whole values."""
+    v = F.col(column)
+    pairs = F.zip_with(
+        v["positions"], v["values"], lambda p, x: F.concat_ws(":", p.cast("string"), quantise(x, scale).cast("string"))
+    )
+    return df.withColumn(column, F.concat_ws("|", v["size"].cast("string"), F.array_join(pairs, ",")))
 
 
 @query
 def course_vector(spark, sf):
-    return _vector_text(fe.course_vectors(load_domain(spark, sf)), "SUBJECT_STAR", 10)
+    return _entries_text(fe.course_vectors(load_domain(spark, sf)), "SUBJECT_STAR", 10)
 
 
 @query
 def course_vector_3state(spark, sf):
-    dense = fe.course_vectors(load_domain(spark, sf), three_state=True)
-    return _vector_text(dense, "SUBJECT_STAR", 10)
+    return _entries_text(fe.course_vectors(load_domain(spark, sf), three_state=True), "SUBJECT_STAR", 10)
 
 
 @query
 def area_vector(spark, sf):
-    return _vector_text(fe.area_vectors(load_domain(spark, sf)), "NCR_STAR", 10)
+    return _entries_text(fe.area_vectors(load_domain(spark, sf)), "NCR_STAR", 10)
 
 
 @query
 def activity_vector(spark, sf):
-    return _vector_text(fe.activity_vectors(load_domain(spark, sf)), "ACTING_COUNT", 1)
+    return _entries_text(fe.activity_vectors(load_domain(spark, sf)), "ACTING_COUNT", 1)
 
 
 @query
 def took_flags(spark, sf):
-    return fe.took_flags(load_domain(spark, sf))
+    return _entries_text(fe.took_vectors(load_domain(spark, sf)), "TOOK", 1)
+
+
+_FEATURES = [("SUBJECT_STAR", 10), ("NCR_STAR", 10), ("ACTING_COUNT", 1)]
 
 
 @query
 def feature_join(spark, sf):
-    dense = fe.feature_table(load_domain(spark, sf))
-    for column, scale in [("SUBJECT_STAR", 10), ("NCR_STAR", 10), ("ACTING_COUNT", 1)]:
-        dense = _vector_text(dense, column, scale)
+    """Every student's three vectors, sparse."""
+    vectors = _in_run(spark, sf, lambda facts, asking: fe.feature_table(facts))
+    for column, scale in _FEATURES:
+        vectors = _entries_text(vectors, column, scale)
+    return vectors
+
+
+@query
+def feature_dense(spark, sf):
+    """The stored, dense form for the asking students."""
+    dense = _in_run(spark, sf, lambda facts, asking: fe.dense_features(fe.feature_table(facts), asking))
+    for column, scale in _FEATURES:
+        whole = F.transform(column, lambda v: quantise(v, scale).cast("string"))
+        dense = dense.withColumn(column, F.array_join(whole, ","))
     return dense
 
 
@@ -168,7 +193,7 @@ def feature_join(spark, sf):
 
 
 def _similar(spark, sf, *columns):
-    similar = si.similarity(*_asking(spark, sf)).select("query_std", "dept", "std_no", *columns)
+    similar = _in_run(spark, sf, si.similarity).select("query_std", "dept", "std_no", *columns)
     return _rounded(similar, *columns)
 
 
@@ -192,26 +217,27 @@ def cosine_concat(spark, sf):
 # ---- blend and recommendation ------------------------------------------------------------
 
 
-def _blended(spark, sf):
-    domain, asking = _asking(spark, sf)
-    return rc.blend(tr.user_trust(domain, asking), si.similarity(domain, asking))
+def _blend(facts, asking):
+    return rc.blend(tr.user_trust(facts, asking), si.similarity(facts, asking))
 
 
 @query
 def blend_score(spark, sf):
-    blended = _blended(spark, sf).select("query_std", "std_no", "similarity", "trust", "score")
+    blended = _in_run(spark, sf, _blend).select("query_std", "std_no", "similarity", "trust", "score")
     return _rounded(blended, "similarity", "trust", "score")
 
 
 @query
 def top_neighbours(spark, sf):
-    return _rounded(rc.nearest(_blended(spark, sf)), "score")
+    return _rounded(_in_run(spark, sf, rc.neighbours), "score")
 
 
 def _ranked(spark, sf, kinds: list[str], params: Params = Params()):
-    domain, asking = _asking(spark, sf)
-    people = rc.neighbours(domain, asking, params)
-    ranked = rc.ranked_items(domain, people, asking, params).filter(F.col("what").isin(kinds))
+    def make(facts, asking):
+        people = rc.neighbours(facts, asking, params)
+        return rc.ranked_items(facts, people, asking, params).filter(F.col("what").isin(kinds))
+
+    ranked = _in_run(spark, sf, make)
     return _rounded(ranked.select("query_std", "what", "item", "n", "score", "rank"), "score")
 
 
@@ -237,24 +263,19 @@ def rec_titles(spark, sf):
 
 @query
 def mean_participation(spark, sf):
-    domain, asking = _asking(spark, sf)
-    return rc.participation(domain, rc.neighbours(domain, asking))
-
-
-def _result(spark, sf, params: Params = Params()):
-    domain, asking = _asking(spark, sf)
-    return rc.recommend(domain, asking, params)
+    return _in_run(spark, sf, lambda facts, asking: rc.participation(facts, rc.neighbours(facts, asking)))
 
 
 @query
 def rec_assembled(spark, sf):
-    return _result(spark, sf)
+    return _in_run(spark, sf, rc.recommend)
 
 
 @query
 def recommend_first_run(spark, sf):
     """Every switch set as in the original run."""
-    return _result(spark, sf, Params.as_first_run())
+    first = Params.as_first_run()
+    return _in_run(spark, sf, lambda facts, asking: rc.recommend(facts, asking, first))
 
 
 # ---- evaluation ---------------------------------------------------------------------------
@@ -272,11 +293,11 @@ def ground_truth_programmes(spark, sf):
 
 @query
 def eval_prf(spark, sf):
-    domain, asking = _asking(spark, sf)
-    recommended = rc.ranked_items(domain, rc.neighbours(domain, asking), asking)
-    metrics = ev.hit_metrics(
-        recommended.filter(F.col("what") == rc.COURSE), ev.truth_for(domain, asking)
-    )
+    def make(facts, asking):
+        recommended = rc.ranked_items(facts, rc.neighbours(facts, asking), asking)
+        return ev.hit_metrics(recommended.filter(F.col("what") == rc.COURSE), ev.truth_for(facts, asking))
+
+    metrics = _in_run(spark, sf, make)
     return _rounded(metrics, "precision", "recall", "f_measure", "ref_precision", "ref_recall")
 
 
@@ -329,4 +350,5 @@ def rmse(spark, sf):
     """Each star against the mean star of its item."""
     domain = load_domain(spark, sf)
     means = tr.content_trust(domain).withColumnRenamed("star", "mean_star")
-    return _rounded(ev.rmse(domain.ratings.join(means, "item"), "star", "mean_star"), "rmse")
+    both = hot_join(domain.ratings, means, ["item"], ["std_no", "star"])
+    return _rounded(ev.rmse(both, "star", "mean_star"), "rmse")

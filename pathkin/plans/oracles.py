@@ -149,6 +149,14 @@ VIEWS: dict[str, str] = {
         SELECT s.dept, m.std_no, s.kind, s.feature, coalesce(e.q, s.fill) AS q
         FROM slots s JOIN members m USING (dept)
         LEFT JOIN entries e USING (dept, std_no, kind, feature)""",
+    "places": """
+        SELECT *, row_number() OVER (PARTITION BY dept, part ORDER BY kind, feature) AS position,
+               count(*) OVER (PARTITION BY dept, part) AS size
+        FROM (SELECT dept, kind, feature, CASE WHEN kind LIKE 'act%' THEN 'act' ELSE kind END AS part FROM slots)""",
+    "placed": """
+        SELECT m.dept, m.std_no, p.part, p.position, p.size, e.q
+        FROM members m JOIN places p USING (dept)
+        LEFT JOIN entries e ON e.dept = m.dept AND e.std_no = m.std_no AND e.kind = p.kind AND e.feature = p.feature""",
     "products": """
         SELECT x.std_no AS query_std, y.dept, y.std_no,
                CASE WHEN y.kind LIKE 'act%' THEN 'act' ELSE y.kind END AS part,
@@ -299,6 +307,14 @@ _COUNTS = "string_agg(CAST(q // -100 AS VARCHAR), ',' ORDER BY feature) FILTER (
 _FLAGS = "string_agg(CAST(q // -100 AS VARCHAR), ',' ORDER BY feature) FILTER (kind = 'act_title')"
 _ACTING = f"concat_ws(',', {_COUNTS}, {_FLAGS})"
 
+
+def _sparse(part: str, scale: int = 1) -> str:
+    """A student's own entries as text: size, then position and whole value of each."""
+    own = f"part = '{part}' AND q IS NOT NULL"
+    return f"""max(CASE WHEN part = '{part}' THEN size ELSE {3 if part == "act" else 0} END) || '|' || coalesce(string_agg(
+                   position || ':' || (q // {scale}), ',' ORDER BY position) FILTER ({own}), '')"""
+
+
 SQL: dict[str, str] = {
     # scans, filters, projections
     "scan_project": "SELECT c_custkey, c_name, c_nationkey FROM customer",
@@ -311,9 +327,6 @@ SQL: dict[str, str] = {
                         FROM students""",
     "user_attributes": "SELECT std_no, dept, gender FROM students JOIN asking USING (std_no)",
     "missing_user": "SELECT count(*) AS n FROM students WHERE std_no = 'no such student'",
-    "first_students": """
-        SELECT * FROM (SELECT dept, std_no, CAST(row_number() OVER (PARTITION BY dept ORDER BY std_no) AS INTEGER) AS rank
-                       FROM students) WHERE rank <= 5""",
     "collection_roundtrip": """
         SELECT dept, 2 * count(*) AS n, 'raw' AS namespace FROM students GROUP BY dept
         UNION ALL SELECT dept, count(*), 'clean' FROM students GROUP BY dept""",
@@ -364,7 +377,7 @@ SQL: dict[str, str] = {
                    WHERE kind = 'N' AND star > 49e-1 GROUP BY item) s USING (item)""",
     "densify_cohort": """
         SELECT m.dept, m.std_no, u.course, round(coalesce(c.value, -1e0), 6) AS value
-        FROM members m JOIN universe u USING (dept)
+        FROM members m JOIN asking USING (std_no) JOIN universe u USING (dept)
         LEFT JOIN course_stars c ON c.dept = m.dept AND c.std_no = m.std_no AND c.feature = u.course""",
     # grouping and distinct
     "avg_star_per_item": """
@@ -463,15 +476,16 @@ SQL: dict[str, str] = {
         FROM embeddings v
         JOIN (SELECT label, arg_min(embedding, vec_id) AS first FROM embeddings GROUP BY label) f USING (label)""",
     # registers
-    "dept_students": """SELECT dept, CAST(0 AS BIGINT) AS part, string_agg(std_no, ',' ORDER BY std_no) AS people
-                        FROM students GROUP BY dept""",
+    "dept_students": """SELECT dept, std_no, row_number() OVER (PARTITION BY dept ORDER BY std_no) AS position
+                        FROM (SELECT DISTINCT dept, std_no FROM students)""",
     "dept_courses": "SELECT dept, course FROM universe",
     "college_departments": """
         SELECT CAST(n_regionkey AS VARCHAR) AS college,
                string_agg(CAST(n_nationkey AS VARCHAR), ',' ORDER BY CAST(n_nationkey AS VARCHAR)) AS depts
         FROM nation GROUP BY 1""",
-    "company_graduate_lists": """SELECT company, CAST(0 AS BIGINT) AS part, string_agg(std_no, ',' ORDER BY std_no) AS people
-                                 FROM grads GROUP BY company""",
+    "company_graduate_lists": """SELECT company, std_no,
+                                        row_number() OVER (PARTITION BY company ORDER BY std_no) AS position
+                                 FROM grads""",
     # interest
     "interest_applied": """SELECT std_no, strftime(reg_date, '%Y-%m-%d %H:%M:%S') AS reg_date, company FROM sent""",
     "interest_searched": """SELECT std_no, strftime(reg_date, '%Y-%m-%d %H:%M:%S') AS reg_date, company
@@ -498,26 +512,33 @@ SQL: dict[str, str] = {
     "cohort": """
         SELECT a.std_no AS query_std, m.dept, m.std_no
         FROM asking a JOIN members q ON q.std_no = a.std_no JOIN members m ON m.dept = q.dept""",
-    "course_vector": f"""SELECT dept, std_no, {_vector("'course'", 1)} AS "SUBJECT_STAR"
-                         FROM dense GROUP BY dept, std_no""",
+    "course_vector": f"""SELECT dept, std_no, {_sparse("course")} AS "SUBJECT_STAR"
+                         FROM placed GROUP BY dept, std_no""",
     "course_vector_3state": """
-        SELECT m.dept, m.std_no, string_agg(CAST(CASE WHEN c.value IS NOT NULL THEN CAST(trunc(c.value * 10) AS BIGINT)
-                   WHEN t.course IS NOT NULL THEN -10 ELSE 0 END AS VARCHAR), ',' ORDER BY u.course) AS "SUBJECT_STAR"
-        FROM (SELECT DISTINCT dept, std_no FROM course_stars) m JOIN universe u USING (dept)
+        SELECT m.dept, m.std_no, max(u.size) || '|' || string_agg(
+                   u.position || ':' || CASE WHEN c.value IS NOT NULL THEN CAST(trunc(c.value * 10) AS BIGINT) ELSE -10 END,
+                   ',' ORDER BY u.position) FILTER (c.value IS NOT NULL OR t.course IS NOT NULL) AS "SUBJECT_STAR"
+        FROM (SELECT DISTINCT dept, std_no FROM course_stars) m
+        JOIN (SELECT dept, feature AS course, position, size FROM places WHERE kind = 'course') u USING (dept)
         LEFT JOIN course_stars c ON c.dept = m.dept AND c.std_no = m.std_no AND c.feature = u.course
         LEFT JOIN taken t ON t.dept = m.dept AND t.std_no = m.std_no AND t.course = u.course
         GROUP BY 1, 2""",
-    "area_vector": f"""SELECT dept, std_no, coalesce({_vector("'area'", 1)}, '') AS "NCR_STAR"
-                       FROM dense GROUP BY dept, std_no""",
-    "activity_vector": f"""SELECT dept, std_no, {_ACTING} AS "ACTING_COUNT"
-                           FROM dense GROUP BY dept, std_no""",
+    "area_vector": f"""SELECT dept, std_no, {_sparse("area")} AS "NCR_STAR"
+                       FROM placed GROUP BY dept, std_no""",
+    "activity_vector": f"""SELECT dept, std_no, {_sparse("act", -100)} AS "ACTING_COUNT"
+                           FROM placed GROUP BY dept, std_no""",
     "took_flags": """
-        SELECT m.dept, m.std_no, u.course, CASE WHEN t.course IS NULL THEN 0 ELSE 1 END AS took
-        FROM members m JOIN universe u USING (dept) LEFT JOIN taken t USING (dept, std_no, course)""",
+        SELECT dept, std_no, max(size) || '|' || string_agg(position || ':1', ',' ORDER BY position) AS "TOOK"
+        FROM taken JOIN (SELECT dept, feature AS course, position, size FROM places WHERE kind = 'course')
+        USING (dept, course) GROUP BY dept, std_no""",
     "feature_join": f"""
+        SELECT dept, std_no, {_sparse("course")} AS "SUBJECT_STAR", {_sparse("area")} AS "NCR_STAR",
+               {_sparse("act", -100)} AS "ACTING_COUNT"
+        FROM placed GROUP BY dept, std_no""",
+    "feature_dense": f"""
         SELECT dept, std_no, {_vector("'course'", 1)} AS "SUBJECT_STAR",
                coalesce({_vector("'area'", 1)}, '') AS "NCR_STAR", {_ACTING} AS "ACTING_COUNT"
-        FROM dense GROUP BY dept, std_no""",
+        FROM dense JOIN asking USING (std_no) GROUP BY dept, std_no""",
     # similarity
     "cosine_course": "SELECT query_std, dept, std_no, round(s, 6) AS sbjt_similarity FROM likeness",
     "cosine_total": """
@@ -560,7 +581,9 @@ SQL: dict[str, str] = {
     "confusion_counts": "SELECT label, prediction, n FROM cells",
     "confusion_matrix": """
         SELECT label, CAST(coalesce(sum(n) FILTER (prediction = 0), 0) AS BIGINT) AS pred_0,
-               CAST(coalesce(sum(n) FILTER (prediction = 1), 0) AS BIGINT) AS pred_1 FROM cells GROUP BY label""",
+               CAST(coalesce(sum(n) FILTER (prediction = 1), 0) AS BIGINT) AS pred_1,
+               CAST(coalesce(sum(n) FILTER (prediction IS NULL OR prediction NOT IN (0, 1)), 0) AS BIGINT) AS pred_other
+        FROM cells GROUP BY label""",
     "per_label_metrics": """
         SELECT label, actual, tp, total, round(precision, 6) AS precision, round(recall, 6) AS recall,
                round(fpr, 6) AS fpr, round(f1, 6) AS f1 FROM label_scores""",

@@ -24,7 +24,7 @@ from pathkin.operators import features as fe
 from pathkin.operators import relational as rel
 from pathkin.operators import trust as tr
 from pathkin.plans.testdata import departments, load_domain, query_students, table
-from pathkin.session import scratch_path
+from pathkin.session import scratch_path, stage
 from pathkin.sources import stores
 
 QUERIES = {}
@@ -98,13 +98,6 @@ def missing_user(spark, sf):
     return found.agg(F.count("*").alias("n"))
 
 
-@query
-def first_students(spark, sf):
-    """The cohort limit: the first 5 students of each department by number."""
-    people = load_domain(spark, sf).students.select("dept", "std_no")
-    return rel.top_k(people, ["dept"], [F.col("std_no")], 5)
-
-
 @query
 def collection_roundtrip(spark, sf):
     """Append to a stored collection, overwrite another, read both by schema and namespace."""
@@ -305,7 +298,9 @@ def left_default_multiply(spark, sf):
 
 @query
 def densify_cohort(spark, sf):
-    dense = fe.densify_courses(load_domain(spark, sf))
+    """Every course of the department against the asking students."""
+    domain = load_domain(spark, sf)
+    dense = fe.densify_courses(domain, stage(query_students(domain), "asking"))
     return dense.withColumn("value", F.round("value", 6))
 
 
@@ -453,7 +448,7 @@ def array_concat(spark, sf):
 
 @query
 def multiset_except(spark, sf):
-    """Completions minus one copy per rating, as bags of (department, course)."""
+    """Completions minus one copy of each course that is a programme, too, as counted bags."""
     domain = load_domain(spark, sf)
     done = domain.courses.select("dept", "course")
     rated = (
@@ -461,8 +456,7 @@ def multiset_except(spark, sf):
         .distinct()
         .join(domain.programmes.select(F.col("programme").alias("course")), "course")
     )
-    left = rel.multiset_minus(done, rated)
-    return left.groupBy("dept", "course").agg(F.count("*").alias("n"))
+    return rel.multiset_minus(done, rated)
 
 
 # ---- scalar functions --------------------------------------------------------------
@@ -605,7 +599,7 @@ def dense_cosine(spark, sf):
     """Each vector against the first vector of its label."""
     vectors = table(spark, sf, "embeddings")
     first = vectors.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("first"))
-    return vectors.join(first, "label").select(
+    return rel.hot_join(vectors, first, ["label"], ["vec_id"]).select(
         "vec_id", "label", F.round(cosine(F.col("embedding"), F.col("first")), 6).alias("cosine")
     )
 
@@ -615,10 +609,9 @@ def dense_cosine(spark, sf):
 
 @query
 def dept_students(spark, sf):
-    """Students per department as lists of bounded length."""
+    """Students of each department in order, one row each."""
     people = load_domain(spark, sf).students.select("dept", "std_no").distinct()
-    lists = rel.bounded_lists(people, ["dept"], "std_no", "people")
-    return lists.select("dept", "part", _joined("people").alias("people"))
+    return rel.numbered(people, ["dept"], ["std_no"])
 
 
 @query
@@ -636,7 +629,6 @@ def college_departments(spark, sf):
 
 @query
 def company_graduate_lists(spark, sf):
-    """Graduates of every company as lists of bounded length."""
+    """Graduates of every company in order, one row each."""
     pairs = load_domain(spark, sf).graduates.select("company", "std_no").distinct()
-    lists = rel.bounded_lists(pairs, ["company"], "std_no", "people")
-    return lists.select("company", "part", _joined("people").alias("people"))
+    return rel.numbered(pairs, ["company"], ["std_no"])

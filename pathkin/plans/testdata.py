@@ -8,13 +8,18 @@ events the activities and job searches.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathkin.domain import Domain
 from pathkin.functions.scalars import COMPLETED
+from pathkin.operators.facts import Facts, gather
+from pathkin.session import Workspace
 
-# number of course codes the part keys are mapped onto
+# the given parts are mapped onto this many course codes, as the SQL twins do
 COURSE_CODES = 100
 
 
@@ -58,7 +63,33 @@ def _activity_type() -> Column:
     return code
 
 
-def load_domain(spark: SparkSession, sf_dir: str) -> Domain:
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order."""
+    orders = table(spark, sf_dir, "orders")
+    lineitem = table(spark, sf_dir, "lineitem")
+    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).withColumn("std_no", _text("o_custkey"))
+
+
+def _bought(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return lines.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+
+
+def _stored_lines(spark: SparkSession, sf_dir: str, workspace: Workspace) -> DataFrame:
+    """Lines, orders and customers joined once for a run; only the columns that it needs."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    joined = _lines(spark, sf_dir).join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return workspace.stage(
+        joined.select(
+            "std_no", "o_custkey", "o_orderstatus", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
+            "l_returnflag", "c_custkey", "c_nationkey", "c_mktsegment",
+        ),
+        "lines",
+    )
+
+
+def load_domain(spark: SparkSession, sf_dir: str, stored: DataFrame | None = None) -> Domain:
+    """The domain; over lines already joined and stored, if there are such."""
     customer = table(spark, sf_dir, "customer")
     orders = table(spark, sf_dir, "orders")
     lineitem = table(spark, sf_dir, "lineitem")
@@ -66,9 +97,10 @@ def load_domain(spark: SparkSession, sf_dir: str) -> Domain:
     part = table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier")
 
-    lines = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-    lines = lines.withColumn("std_no", _text("o_custkey"))
-    bought = lines.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    lines = _lines(spark, sf_dir) if stored is None else stored
+    bought = _bought(spark, sf_dir, lines) if stored is None else stored.filter("c_custkey is not null")
+    # an order without lines has no posting, and a line without order no application to it
+    posted = lineitem if stored is None else stored
     male = F.col("c_mktsegment").isin("BUILDING", "MACHINERY")
 
     return Domain(
@@ -119,7 +151,7 @@ def load_domain(spark: SparkSession, sf_dir: str) -> Domain:
             _text("o_custkey").alias("std_no"),
             F.when(F.col("o_orderpriority") < "3", "Y").otherwise("N").alias("applied"),
         ),
-        postings=lineitem.groupBy(_text("l_orderkey").alias("posting_id")).agg(
+        postings=posted.groupBy(_text("l_orderkey").alias("posting_id")).agg(
             F.min("l_suppkey").cast("string").alias("company")
         ),
         searches=events.filter(F.col("event_type").isin("view", "click")).select(
@@ -138,7 +170,15 @@ def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def query_students(domain: Domain) -> DataFrame:
+@contextmanager
+def gathered(spark: SparkSession, sf_dir: str) -> Iterator[tuple[Facts, DataFrame]]:
+    """The facts of one run and its asking students; all tables of the run go with it."""
+    with Workspace(spark) as workspace:
+        facts = gather(load_domain(spark, sf_dir, _stored_lines(spark, sf_dir, workspace)), workspace)
+        yield facts, workspace.stage(query_students(facts), "asking")
+
+
+def query_students(domain: Domain | Facts) -> DataFrame:
     """std_no of one asking student per department.
 
     The asking student is the parameter of every recommendation; with one in each

@@ -60,3 +60,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """Staged tables of one run in a folder of their own, removed when the run ends."""
+
+    def __init__(self, spark: SparkSession, name: str = "run"):
+        self.spark, self.path = spark, scratch_path(spark, name)
+
+    def stage(self, df: DataFrame, name: str, by: list[str] = []) -> DataFrame:
+        path = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        df.write.partitionBy(*by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> "Workspace":
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove(self.spark, self.path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system; one that isn't there is no fault."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)

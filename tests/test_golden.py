@@ -49,9 +49,16 @@ def _three_students(spark):
     )
 
 
+def _dense(vectors, column, fill=-1.0, counted=0):
+    return {r.std_no: r.v for r in vectors.select("std_no", fe.dense(column, fill, counted).alias("v")).collect()}
+
+
 def test_course_vectors(spark):
     vectors = fe.course_vectors(_three_students(spark))
-    got = {r.std_no: r.SUBJECT_STAR for r in vectors.collect()}
+    own = {r.std_no: r.SUBJECT_STAR for r in vectors.collect()}
+    assert own["na"].asDict() == {"size": 5, "positions": [3], "values": [3.0]}
+    assert own["ra"].asDict() == {"size": 5, "positions": [], "values": []}
+    got = _dense(vectors, "SUBJECT_STAR")
     assert got == {
         "ga": [4.0, 3.0, -1.0, -1.0, -1.0],
         "na": [-1.0, -1.0, 3.0, -1.0, -1.0],
@@ -66,7 +73,7 @@ def test_three_state_vectors_leave_out_students_without_stars(spark):
         courses=[("a", "D", "x"), ("a", "D", "y"), ("b", "D", "z")],
         ratings=[("a", "x", 4.0, "C")],
     )
-    got = {r.std_no: r.SUBJECT_STAR for r in fe.course_vectors(domain, three_state=True).collect()}
+    got = _dense(fe.course_vectors(domain, three_state=True), "SUBJECT_STAR", 0.0)
     assert got == {"a": [4.0, -1.0, 0.0]}
 
 
@@ -80,10 +87,22 @@ def test_activity_vector_counts_distinct_rows_unless_told_otherwise(spark):
     acts = [("a", "OAMTYPCD03", "t"), ("a", "OAMTYPCD03", "t"), ("a", "OAMTYPCD05", "u"),
             ("a", "OAMTYPCD01", "x"), ("b", "OAMTYPCD02", "y")]
     domain = make(spark, courses=[("a", "D", "c"), ("b", "D", "c")], activities=acts)
-    got = {r.std_no: r.ACTING_COUNT for r in fe.activity_vectors(domain).collect()}
+    got = _dense(fe.activity_vectors(domain), "ACTING_COUNT", -1.0, 3)
     assert got == {"a": [1, 0, 1, 1, -1], "b": [0, 0, 0, -1, 1]}
     every = fe.activity_vectors(domain, Params(count_activity_rows=True))
-    assert {r.std_no: r.ACTING_COUNT[0] for r in every.collect()}["a"] == 2
+    assert _dense(every, "ACTING_COUNT", -1.0, 3)["a"][0] == 2
+
+
+def test_took_vectors_and_dense_features_of_asking_students(spark):
+    domain = _three_students(spark)
+    took = {r.std_no: r.TOOK for r in fe.took_vectors(domain).collect()}
+    assert took["ra"].asDict() == {"size": 5, "positions": [4, 5], "values": [1.0, 1.0]}
+    dense = fe.dense_features(fe.feature_table(domain), users(spark, "ga", "nobody")).collect()
+    assert [(r.std_no, r.SUBJECT_STAR, r.NCR_STAR, r.ACTING_COUNT) for r in dense] == [
+        ("ga", [4.0, 3.0, -1.0, -1.0, -1.0], [], [0, 0, 0])
+    ]
+    every = fe.densify_courses(domain, users(spark, "na"))
+    assert rows(every, "std_no", "course", "value") == [("na", c, 3.0 if c == "c" else -1.0) for c in "abcde"]
 
 
 def test_hit_metrics(spark):

@@ -23,12 +23,52 @@ def test_spread_join_equals_plain_join(spark):
         assert rows(spread.na.fill(0), *plain.columns) == rows(plain.na.fill(0), *plain.columns), how
 
 
-def test_bounded_lists_cut_hot_keys_and_lose_nothing(spark):
-    big = _hot(spark)
-    lists = rel.bounded_lists(big, ["k"], "v", "vs", max_len=20)
-    assert rows(lists.select("k", F.explode("vs").alias("v")), "k", "v") == rows(big, "k", "v")
-    assert lists.filter(F.col("k") == "hot").count() > 5
-    assert lists.agg(F.max(F.size("vs"))).first()[0] < 60
+def test_hot_join_equals_plain_join_and_spreads_the_hot_key(spark):
+    big = _hot(spark, 3000).unionByName(spark.createDataFrame([(None, "x")], "k string, v string"))
+    small = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("none", 4), (None, 5)], "k string, w int")
+    assert len(rel.hot_keys(big, ["k"], share=0.2)) == 1
+    for share in (0.2, 0.001, 0.9):
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            plain = big.join(small, "k", how)
+            spread = rel.hot_join(big, small, ["k"], ["v"], how, buckets=5, share=share)
+            assert rows(spread.na.fill(0).na.fill(""), *plain.columns) == rows(plain.na.fill(0).na.fill(""), *plain.columns)
+    assert rel.hot_keys(big.limit(0), ["k"]) == []
+
+
+def test_hot_join_deals_a_third_of_all_rows_evenly(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        big = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000 + 1).alias("k"), F.col("id").alias("v"))
+        small = spark.range(5001).withColumnRenamed("id", "k")
+        sizes = lambda df: sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        even, plain = sizes(rel.hot_join(big, small, ["k"], ["v"])), sizes(big.join(small, "k"))
+        assert sum(even) == sum(plain) == 60_000
+        assert even[-1] < 3 * even[len(even) // 2] and plain[-1] > 6 * plain[len(plain) // 2]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_numbered_rows_of_a_key_larger_than_any_partition(spark):
+    big = _hot(spark, 3000).unionByName(spark.createDataFrame([(None, "a"), (None, "b"), ("k1", None)], "k string, v string"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = rel.numbered(big, ["k"], ["v"])
+        hot = got.filter("k = 'hot'").groupBy(F.spark_partition_id()).count()
+        assert hot.agg(F.max("count")).first()[0] < 0.7 * big.filter("k = 'hot'").count()
+        window = Window.partitionBy("k").orderBy("v")
+        want = big.withColumn("position", F.row_number().over(window))
+        assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+        alone = rel.numbered(big.select("v"), [], ["v"]).orderBy("position").collect()
+        assert [r.position for r in alone] == list(range(1, big.count() + 1))
+        assert [r.v for r in alone] == sorted([r.v for r in big.collect()], key=lambda v: (v is not None, v))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_running_totals_equal_one_window(spark):
@@ -63,7 +103,7 @@ def test_keep_last_and_marks(spark):
 def test_multiset_minus_cancels_one_copy(spark):
     left = spark.createDataFrame([("A",)] * 4 + [("B",)], "x string")
     right = spark.createDataFrame([("A",)], "x string")
-    assert rows(rel.multiset_minus(left, right), "x") == [("A",)] * 3 + [("B",)]
+    assert rows(rel.multiset_minus(left, right), "x", "n") == [("A", 3), ("B", 1)]
 
 
 def test_outer_join_all(spark):

@@ -54,7 +54,8 @@ def _cut(v, scale):
 @pytest.mark.parametrize("params", [Params(), Params(fill=0.0), Params(count_activity_rows=True)])
 def test_closed_form_equals_dense(spark, domain, params):
     asking = users(spark, "s0", "s1", "s5", "s9")
-    dense = {r.std_no: r for r in fe.feature_table(domain, params).collect()}
+    everybody = domain.students.select("std_no")
+    dense = {r.std_no: r for r in fe.dense_features(fe.feature_table(domain, params), everybody, params).collect()}
     checked = 0
     for r in si.similarity(domain, asking, params).collect():
         x, y = dense[r.query_std], dense[r.std_no]
@@ -105,7 +106,50 @@ def test_self_may_be_a_neighbour_on_request(spark, domain):
     assert ("s3", "s3") in rows(people, "query_std", "std_no")
 
 
-def test_cohort_limit(spark, domain):
-    asking = users(spark, "s0")
-    assert fe.cohort(domain, asking, Params(cohort_cap=4)).count() == 4
-    assert si.similarity(domain, asking, Params(cohort_cap=4)).count() == 4
+def test_a_run_gives_what_lazy_facts_give(spark, domain):
+    from pathkin.operators.facts import gather
+    from pathkin.session import Workspace
+
+    asking = users(spark, *[f"s{i}" for i in range(0, 36, 5)])
+    want = rows(rc.recommend(domain, asking), "query_std", "Rank", "SBJT_KEY_CD", "OAMTYPCD01")
+    with Workspace(spark) as workspace:
+        facts = gather(domain, workspace)
+        got = rows(rc.recommend(facts, asking), "query_std", "Rank", "SBJT_KEY_CD", "OAMTYPCD01")
+        stored = facts.taken.inputFiles()
+    assert got == want and stored
+    import os
+
+    assert not os.path.exists(workspace.path)
+
+
+def test_best_employers_are_the_best_of_all_pairs(spark, domain):
+    from pathkin.operators import trust as tr
+    from pyspark.sql import functions as F
+
+    asking = users(spark, *[f"s{i}" for i in range(36)], *[f"none{i}" for i in range(100)])
+    every = tr.company_trust(domain, asking).groupBy("query_std", "std_no").agg(F.max("company_trust").alias("company_trust"))
+    columns = ["query_std", "std_no", "company_trust"]
+    assert rows(tr.best_employers(domain, asking), *columns) == rows(every, *columns)
+
+
+def test_facts_are_scanned_twice_at_most(spark, monkeypatch):
+    from pathkin.plans import domain_queries
+    from pathkin.session import Workspace
+
+    plans = []
+
+    def watched(write):
+        def run(*args, **kw):
+            df = next(a for a in args if hasattr(a, "_jdf"))
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+            return write(*args, **kw)
+
+        return run
+
+    monkeypatch.setattr(Workspace, "stage", watched(Workspace.stage))
+    monkeypatch.setattr(domain_queries, "stage", watched(domain_queries.stage))
+    for name in ("rec_assembled", "eval_prf", "top_neighbours", "user_trust"):
+        plans.clear()
+        domain_queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+        for raw in ("lineitem", "orders", "events"):
+            assert sum(p.count(f"/{raw}.parquet]") for p in plans) in (1, 2), (name, raw)
