@@ -15,7 +15,9 @@ from pathkin.operators import trust as tr
 from pathkin.operators.relational import hot_join
 from pathkin.params import Params
 from pathkin.plans.testdata import gathered, load_domain, query_students, table
-from pathkin.session import stage
+from pathkin.session import scratch_path, stage
+from pathkin.sources import stores
+from pathkin.sources.schemas import COLLECTIONS
 
 QUERIES = {}
 SIX = 6
@@ -278,6 +280,22 @@ def recommend_first_run(spark, sf):
     return _in_run(spark, sf, lambda facts, asking: rc.recommend(facts, asking, first))
 
 
+@query
+def result_roundtrip(spark, sf):
+    """All asking students' results are stored, then those of some are replaced by shorter ones."""
+    root, name = scratch_path(spark, "results"), "Recommend_Result"
+    counts = [c for c in rc.RESULT_COLUMNS.values() if c.endswith("_AVG")]
+    with gathered(spark, sf) as (facts, asking):
+        whole = rc.recommend(facts, asking).withColumnRenamed("query_std", "QUERY_STD")
+        stored = whole.withColumns({c: F.col(c).cast("int") for c in counts})
+        stored = facts.keep(stored, "whole")
+        stores.replace_results(stored, root, name, "QUERY_STD", facts.workspace)
+        shorter = stored.filter((F.col("QUERY_STD").cast("bigint") % 3 == 0) & (F.col("Rank") <= 4))
+        stores.replace_results(shorter, root, name, "QUERY_STD", facts.workspace)
+    back = stores.read_results(spark, root, name, COLLECTIONS[name])
+    return back.withColumns({c: F.col(c).cast("bigint") for c in counts})
+
+
 # ---- evaluation ---------------------------------------------------------------------------
 
 

@@ -315,6 +315,11 @@ def _sparse(part: str, scale: int = 1) -> str:
                    position || ':' || (q // {scale}), ',' ORDER BY position) FILTER ({own}), '')"""
 
 
+def _fold(text: str) -> str:
+    """The fold of a key given as text, as in ``learn.fold`` with its defaults."""
+    return f"(CAST('0x' || substr(md5('11|' || {text}), 1, 8) AS BIGINT) % 100)"
+
+
 SQL: dict[str, str] = {
     # scans, filters, projections
     "scan_project": "SELECT c_custkey, c_name, c_nationkey FROM customer",
@@ -558,6 +563,9 @@ SQL: dict[str, str] = {
                              WHERE what IN ('OAMTYPCD03', 'OAMTYPCD04', 'OAMTYPCD05')""",
     "rec_assembled": _assembled("ranked"),
     "recommend_first_run": _assembled("ranked_first"),
+    "result_roundtrip": f"""
+        SELECT query_std AS "QUERY_STD", * EXCLUDE (query_std) FROM ({_assembled("ranked")})
+        WHERE "Rank" <= 4 OR CAST(query_std AS BIGINT) % 3 <> 0""",
     # evaluation
     "ground_truth": "SELECT dept, item, n, rank FROM popular",
     "ground_truth_programmes": """
@@ -608,10 +616,34 @@ SQL: dict[str, str] = {
     "rmse": """SELECT round(sqrt(avg((r.star - s.star) * (r.star - s.star))), 6) AS rmse
                FROM ratings r JOIN stars s USING (item)""",
     # models and streams
-    "random_split_sizes": """SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS max_copies
-                             FROM (SELECT DISTINCT std_no, item FROM ratings)""",
+    "random_split_sizes": f"""
+        SELECT CASE WHEN {_fold("std_no || '|' || item")} < 60 THEN 0 ELSE 1 END AS part, count(*) AS n
+        FROM (SELECT DISTINCT std_no, item FROM ratings) GROUP BY 1""",
+    "als_topk": """
+        SELECT DISTINCT std_no, CAST(10 AS BIGINT) AS n, 10 AS last_rank, CAST(10 AS BIGINT) AS different, true AS falling
+        FROM asking JOIN ratings USING (std_no)""",
+    "als_top_users": """
+        SELECT DISTINCT item, CAST(10 AS BIGINT) AS n, 10 AS last_rank, CAST(10 AS BIGINT) AS different, true AS falling
+        FROM ratings WHERE item LIKE '%0'""",
+    "als_rmse": f"""
+        SELECT count(*) AS n, true AS nearer_than_mean FROM (SELECT DISTINCT std_no, item FROM ratings)
+        WHERE {_fold("std_no || '|' || item")} < 80""",
+    "logistic_accuracy": f"""
+        SELECT count(*) AS n, true AS probabilities, true AS known_classes, true AS as_good_as_usual
+        FROM labels JOIN documents USING (doc_id) WHERE {_fold("doc_id")} >= 60""",
+    "logistic_multiclass": f"""
+        SELECT count(*) AS n, true AS probabilities, true AS known_classes, true AS as_good_as_usual
+        FROM embeddings WHERE {_fold("vec_id")} >= 60""",
     "stream_ingest": """
         SELECT event_id, strftime(ts, '%d-%b-%Y (%H:%M:%S.%f)') AS reg_text, event_type FROM events""",
+    "stream_rejects": """
+        SELECT CASE WHEN event_id % 10 < 2 THEN 'reject' ELSE 'row' END AS what,
+               CASE event_id % 10 WHEN 0 THEN '{"event_id":' || event_id || ',"event_'
+                    WHEN 1 THEN '{"event_type":"' || event_type || ' ' || event_id || '"}'
+                    ELSE event_id || ' ' || event_type END AS value
+        FROM events WHERE event_id % 10 <> 2""",
+    "stream_resume": """
+        SELECT event_id, strftime(ts, '%d-%b-%Y (%H:%M:%S.%f)') AS reg_text, event_type FROM events""",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_insert_if_absent": """
         SELECT user_id, event_id, event_type FROM events

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pathkin.functions.scalars import date_to_text, text_to_date
+from pathkin.session import Workspace
 from pathkin.sources.schemas import COLLECTIONS, RATING_HEADER
 
 
@@ -20,7 +23,7 @@ def read_collection(
     name: str,
     namespace: str | None = None,
     fmt: str = "parquet",
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     **options: str,
 ) -> DataFrame:
     """One collection with its explicit schema; ``fmt`` is any installed source."""
@@ -63,12 +66,19 @@ def jdbc_options(
     table: str,
     partition_column: str | None = None,
     bounds: tuple[str, str] | None = None,
-    partitions: int = 1,
+    partitions: int | None = None,
     fetch_size: int = 10_000,
 ) -> dict[str, str]:
-    """Options for a whole-table extract read in parallel ranges of one column."""
+    """Options for a whole-table extract read in parallel ranges of one column.
+
+    Reading in one piece is an explicit choice, ``partitions=1``; otherwise the column,
+    its bounds and the number of ranges must be given.
+    """
+    ranged = partition_column and bounds and partitions
+    if partitions != 1 and not ranged:
+        raise ValueError("give partition_column, bounds and partitions, or partitions=1")
     out = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
-    if partition_column and bounds:
+    if ranged:
         out |= {
             "partitionColumn": partition_column,
             "lowerBound": bounds[0],
@@ -144,40 +154,86 @@ def to_messages(df: DataFrame) -> DataFrame:
     )
 
 
-def from_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of non-empty messages; date columns are restored one by one.
+def _filled(messages: DataFrame) -> DataFrame:
+    return messages.filter(F.col("value").isNotNull() & ~F.trim("value").isin("", "null", "{}"))
+
+
+def _is_record(row: Column, schema: T.StructType, key: list[str]) -> Column:
+    """A JSON object with all key columns; without a key, with some column."""
+    held = [row[k].isNotNull() for k in key or schema.fieldNames()]
+    join = (lambda a, b: a & b) if key else (lambda a, b: a | b)
+    return reduce(join, held)
+
+
+def decoded(messages: DataFrame, schema: T.StructType, key: list[str] = []) -> DataFrame:
+    """value, ok and the columns of ``schema`` of all non-empty messages, parsed once.
 
     A column whose name contains ``DATE`` is parsed from its text form and is null
-    where the text is not a date; other columns take the type in ``schema``.
+    where the text is not a date; other columns take the type in ``schema``. ``ok`` is
+    false for what is no JSON object, lacks a key column or has none of the columns.
     """
     wire = T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if "DATE" in f.name else f.dataType)
-            for f in schema.fields
-        ]
-    )
-    rows = (
-        messages.filter(F.col("value").isNotNull() & ~F.trim("value").isin("", "null", "{}"))
-        .select(F.from_json(F.col("value").cast("string"), wire).alias("r"))
-        .select("r.*")
+        [T.StructField(f.name, T.StringType() if "DATE" in f.name else f.dataType) for f in schema.fields]
     )
-    return rows.select(
-        *[
-            text_to_date(F.col(f.name)).alias(f.name) if "DATE" in f.name else F.col(f.name)
-            for f in schema.fields
-        ]
+    parsed = _filled(messages).select(
+        "value", F.from_json(F.col("value").cast("string"), wire).alias("r")
     )
+    columns = [
+        (text_to_date(F.col("r")[f.name]) if "DATE" in f.name else F.col("r")[f.name]).alias(f.name)
+        for f in schema.fields
+    ]
+    return parsed.select("value", _is_record(F.col("r"), schema, key).alias("ok"), *columns)
+
+
+def from_messages(messages: DataFrame, schema: T.StructType, key: list[str] = []) -> DataFrame:
+    """Rows of the messages that hold a record; see ``decoded``."""
+    return decoded(messages, schema, key).filter("ok").select(*schema.fieldNames())
+
+
+def rejected_messages(messages: DataFrame, schema: T.StructType, key: list[str] = []) -> DataFrame:
+    """The non-empty messages that ``from_messages`` leaves out."""
+    return decoded(messages, schema, key).filter(~F.col("ok")).select("value")
+
+
+def replace_results(
+    df: DataFrame, root: str, name: str, key: str, workspace: Workspace, buckets: int = 64, namespace: str | None = None
+) -> None:
+    """Store results with their asking student; those of the students in ``df`` are replaced.
+
+    The stored table is partitioned by a hash of ``key``. Only the buckets of the
+    students saved are read, merged and overwritten; rows of all other students in
+    them stay. The merged rows are written to the workspace first, so that a bucket is
+    never read while it is replaced. ``key`` must not be null. A student without
+    rows in ``df`` keeps the stored ones.
+    """
+    spark = df.sparkSession
+    path = _address(root, namespace, name)
+    fresh = workspace.stage(df.filter(F.col(key).isNotNull()).withColumn("bucket", bucket_of([key], buckets)), "fresh")
+    if exists(spark, path):
+        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets``
+        stored = spark.read.schema(fresh.schema).parquet(path).filter(F.col("bucket").isin(touched))
+        kept = stored.join(fresh.select(key).distinct(), key, "left_anti")
+        fresh = workspace.stage(fresh.unionByName(kept), "merged")
+    write_buckets(fresh, path, ["bucket"])
+
+
+def read_results(spark: SparkSession, root: str, name: str, schema: T.StructType | str, namespace: str | None = None) -> DataFrame:
+    """Stored results without their bucket."""
+    return spark.read.schema(schema).parquet(_address(root, namespace, name)).drop("bucket")
+
+
+def bucket_of(key: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def write_buckets(df: DataFrame, path: str, by: list[str]) -> None:
+    """Write partitions; those that ``df`` has rows for are replaced, all others stay."""
+    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def rejected_messages(messages: DataFrame, schema: T.StructType, key: list[str]) -> DataFrame:
-    """Non-empty messages that are no JSON object or lack a key column's value."""
-    keys = T.StructType([T.StructField(k, schema[k].dataType) for k in key])
-    parsed = F.from_json(F.col("value").cast("string"), keys)
-    missing = [parsed[k].isNull() for k in key]
-    lacks = missing[0]
-    for m in missing[1:]:
-        lacks = lacks | m
-    return messages.filter(F.col("value").isNotNull() & ~F.trim("value").isin("", "null", "{}")).filter(lacks)
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
 
 
 def publish(df: DataFrame, target: str, fmt: str = "text", topic: str | None = None, **options):

@@ -56,7 +56,9 @@ def test_delimited_records(spark):
 
 
 def test_database_extract_options():
-    plain = stores.jdbc_options("jdbc:x", "T")
+    plain = stores.jdbc_options("jdbc:x", "T", partitions=1)
+    with pytest.raises(ValueError):
+        stores.jdbc_options("jdbc:x", "T")
     assert plain["dbtable"] == "T" and "numPartitions" not in plain
     ranged = stores.jdbc_options("jdbc:x", "T", "ID", ("0", "99"), 8)
     assert ranged["partitionColumn"] == "ID" and ranged["numPartitions"] == "8"
@@ -156,6 +158,73 @@ def test_repeated_batch_writes_the_same_rows(spark, tmp_path):
     assert stored[0] == stored[1] == [("a", 1)]
 
 
+def test_a_batch_reads_only_the_buckets_it_touches(spark, tmp_path):
+    src, sink = tmp_path / "in", str(tmp_path / "sink")
+    names = [f"n{i}" for i in range(40)]
+
+    def run(checkpoint):
+        parsed = stores.from_messages(st.file_messages(spark, str(src)), SCHEMA)
+        st.insert_if_absent(parsed, ["STD_NO"], [F.col("N")], sink, str(tmp_path / checkpoint), 8).awaitTermination()
+
+    _put(src, "1.json", [_message(n) for n in names])
+    run("cp")
+    homes = {r.STD_NO: r.bucket for r in spark.read.parquet(sink).collect()}
+    assert len(homes) == 40 and len(set(homes.values())) > 4
+    # what is stored in any other bucket can't even be read
+    for part in (tmp_path / "sink").glob("bucket=*/batch=*/*.parquet"):
+        if f"bucket={homes['n0']}" not in str(part):
+            part.write_bytes(b"no parquet file")
+            part.with_name(f".{part.name}.crc").unlink()
+    keys = st.known_keys(spark, sink, SCHEMA, ["STD_NO"], [homes["n0"]], "other")
+    assert sorted(r.STD_NO for r in keys.collect()) == sorted(n for n in names if homes[n] == homes["n0"])
+    plan = keys._jdf.queryExecution().sparkPlan().toString()
+    assert "(bucket#" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    _put(src, "2.json", [_message("n0", n=0)])
+    run("cp")
+    stored = spark.read.parquet(f"{sink}/bucket={homes['n0']}")
+    assert rows(stored, "STD_NO", "N") == sorted((n, 1) for n in names if homes[n] == homes["n0"])
+
+
+def test_every_message_arrives_or_is_rejected_once(spark, tmp_path):
+    src, sink, bad = tmp_path / "in", str(tmp_path / "sink"), str(tmp_path / "bad")
+    _put(src, "1.json", [_message("a"), "not json", "", "{}", '{"N": 3}', "[1]", '{"STD_NO": "x"'])
+    for turn in range(2):
+        for _ in range(2):
+            st.ingest_or_reject(
+                st.file_messages(spark, str(src), 1), SCHEMA, ["STD_NO"], sink, bad, str(tmp_path / "cp")
+            ).awaitTermination()
+        _put(src, "2.json", [_message("b"), "null", "also not json"])
+    assert rows(spark.read.schema(SCHEMA).parquet(sink), "STD_NO") == [("a",), ("b",)]
+    assert [v for v, in rows(spark.read.schema("value string").parquet(bad), "value")] == sorted(
+        ["not json", '{"N": 3}', "[1]", '{"STD_NO": "x"', "also not json"]
+    )
+
+
+def test_plain_ingest_keeps_no_row_of_malformed_messages(spark, tmp_path):
+    _put(tmp_path / "in", "1.json", [_message("a"), "not json", '{"other": 1}'])
+    st.ingest(st.file_messages(spark, str(tmp_path / "in")), SCHEMA, str(tmp_path / "s"), str(tmp_path / "c")).awaitTermination()
+    assert rows(spark.read.schema(SCHEMA).parquet(str(tmp_path / "s")), "STD_NO") == [("a",)]
+
+
+def test_results_of_saved_students_are_replaced(spark, tmp_path):
+    from pathkin.session import Workspace
+
+    def save(data):
+        with Workspace(spark) as workspace:
+            df = spark.createDataFrame(data, "QUERY_STD string, Rank int")
+            stores.replace_results(df, str(tmp_path), "R", "QUERY_STD", workspace, buckets=3)
+        back = stores.read_results(spark, str(tmp_path), "R", df.schema)
+        return rows(back, "QUERY_STD", "Rank")
+
+    first = [(f"s{i}", r) for i in range(10) for r in (1, 2)]
+    assert save(first) == sorted(first)
+    again = [("s3", 7), ("new", 1), (None, 1)]
+    want = sorted([x for x in first if x[0] != "s3"] + again[:2])
+    assert save(again) == want
+    assert save(again) == want
+    assert save([]) == want
+
+
 @pytest.fixture(scope="module")
 def raw(spark):
     def frame(name, data):
