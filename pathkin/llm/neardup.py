@@ -209,14 +209,18 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return 1 + np.log((1 + total) / (1 + counts[:BUCKETS])), int(total)
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, part): the least node of each connected part; ``links`` has a and b."""
+def components(links: DataFrame) -> DataFrame:
+    """(node, part): the least node of each connected part; ``links`` has a and b.
+
+    Rounds go on until no node changes; each passes on what a part's least node has
+    reached, so a chain takes about the logarithm of its length.
+    """
     both = written(
         links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
         "links",
     )
     parts = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("part")).withColumnRenamed("a", "node"), "parts")
-    for _ in range(max_rounds):
+    while True:
         near = (
             both.join(parts.select(F.col("node").alias("b"), "part"), "b")
             .groupBy("a").agg(F.min("part").alias("near"))
@@ -233,7 +237,6 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         parts = new.select("node", "part")
         if not new.where("old <> part").limit(1).count():
             return parts
-    raise RuntimeError("links form longer chains than max_rounds allows")
 
 
 def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: int = 3) -> DataFrame:
@@ -375,17 +378,29 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
         "part", F.coalesce("part", "mark")
     )
     least = named.groupBy("part").agg(F.min("doc_id").alias("class_id"))
-    classes = named.join(least, "part").select("mark", "class_id")
-    return all_rows.select("doc_id", "mark").join(classes, "mark").select("doc_id", "class_id")
+    classes = named.join(least, "part").select("mark", "part", "class_id")
+    return all_rows.select("doc_id", "mark").join(classes, "mark").select("doc_id", "class_id", "mark", "part")
 
 
 def op6_consistent_weighted_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(table(spark, sf_dir, "documents"))
+    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of every class the document with the least id stays, once."""
-    classes = near_classes(docs)
-    gone = classes.where("doc_id is not null and doc_id <> class_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"]).select(*DOC_COLUMNS)
+    """Pipeline stage: of every class the document with the least id stays, once.
+
+    A row is named by its id and its text, so an id that stands on several texts is
+    judged for each of them. Null ids come last; of rows that agree in id and text one stays.
+    """
+    no_id, key = F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("key_")
+    kept = (
+        near_classes(docs)
+        .groupBy("part").agg(F.min(F.struct(no_id, key, "mark")).alias("k"))
+        .select("k.*")
+    )
+    text = F.coalesce(docs["text"], F.lit(""))
+    named = docs.select(*DOC_COLUMNS).withColumns(
+        {"no_id": docs["doc_id"].isNull(), "key_": F.coalesce(docs["doc_id"].cast("long"), F.lit(0)), "mark": F.sha2(text.cast("binary"), 256)}
+    )
+    same = named.join(kept, ["no_id", "key_", "mark"], "left_semi")
+    return same.dropDuplicates(["no_id", "key_", "mark"]).select(*DOC_COLUMNS)

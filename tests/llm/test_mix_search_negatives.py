@@ -191,3 +191,21 @@ def test_negatives_are_brute_force(spark):
         assert Counter(tuple(r) for r in got.collect()) == want
     none = whole.limit(0)
     assert negatives.hard_negatives(none, none).count() == 0
+
+
+def test_an_id_on_several_texts_is_judged_for_each(spark):
+    from pathkin.llm import neardup
+
+    rng = np.random.default_rng(3)
+    a, b, c = (" ".join(f"{name}{rng.integers(0, 50)}x{i}" for i in range(60)) for name in "abc")
+    near_b = b + " and one more"
+    rows = [(2, b), (5, a), (5, b), (5, a), (9, near_b), (None, c), (None, c), (None, b), (7, ""), (8, None)]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or ""), "p", 1) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long, part string, mark int",
+    )
+    got = sorted(((r.doc_id, r.text) for r in neardup.stage(spark, docs, "").collect()), key=str)
+    assert got == sorted([(2, b), (5, a), (7, ""), (None, c)], key=str)
+    chain = spark.range(70).select(mixing.F.col("id").cast("string").alias("a"), (mixing.F.col("id") + 1).cast("string").alias("b"))
+    assert {r.part for r in neardup.components(chain).collect()} == {"0"}
+    assert neardup.stage(spark, docs.limit(0), "").count() == 0
