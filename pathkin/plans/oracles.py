@@ -340,6 +340,10 @@ SQL: dict[str, str] = {
                CAST(trunc(abs(s_acctbal) * 10) AS INTEGER) AS headcount,
                CAST(s_suppkey % 5 + 1 AS INTEGER) AS w_company,
                CAST(s_suppkey % 7 + 2 AS INTEGER) AS w_headcount FROM supplier""",
+    "charset_roundtrip": """
+        SELECT CAST(s_suppkey AS INTEGER) AS no, '대기업' AS company_type, '가나 ' || s_name AS company, 1234 AS headcount,
+               '제조업' AS sector, '서울' AS location, CAST(s_suppkey % 5 + 1 AS INTEGER) AS w_company,
+               CAST(s_suppkey % 7 + 2 AS INTEGER) AS w_headcount FROM supplier""",
     "delimited_parse": """
         SELECT CAST(l_orderkey AS INTEGER) AS id, count(*) AS n, sum(trunc(l_quantity)) AS sim,
                sum(CAST(l_suppkey AS DOUBLE)) AS result

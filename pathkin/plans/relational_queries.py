@@ -604,6 +604,21 @@ def dense_cosine(spark, sf):
     )
 
 
+@query
+def charset_roundtrip(spark, sf):
+    """The rating file written and read in EUC-KR."""
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # as in build_session
+    path = scratch_path(spark, "charset")
+    text = lambda name: F.col(name).cast("string")
+    rated = table(spark, sf, "supplier").select(
+        text("s_suppkey").alias("No"), F.lit("대기업").alias("기업형태"),
+        F.concat(F.lit("가나 "), F.col("s_name")).alias("기업명"), F.lit(' 1,234 ').alias("직원수"), F.lit("제조업").alias("업종"),
+        F.lit("서울").alias("소재지"), (F.col("s_suppkey") % 5 + 1).alias("기업가중치"), (F.col("s_suppkey") % 7 + 2).alias("직원수 가중치"),
+    )
+    rated.write.option("header", True).option("encoding", "EUC-KR").csv(path)
+    return stores.read_company_ratings(spark, path, encoding="EUC-KR")
+
+
 # ---- registers ----------------------------------------------------------------------
 
 
