@@ -50,70 +50,116 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
-        self.longest = max(map(len, ranks))
+        self.sizes = {i: len(t) for t, i in ranks.items()}
         self.starts = {t[:n] for t in ranks for n in range(1, len(t))}
         self.max_states = max_states
         self.beside: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+        # the two tokens whose merge makes a token, and the reverse; one byte stands for itself
+        self.halves: dict[int, tuple[int, int]] = {}
+        self.merged: dict[tuple[int, int], int] = {}
         self.clear()
 
     def clear(self) -> None:
-        # a state: [last emitted token, undecided bytes, last token of each prefix, moves, and
-        # for each prefix the places where its tokens begin or end, as bits]
-        self.root = [-1, b"", (-1,), {}, (1,)]
+        # a state: [last emitted token, undecided bytes, last token of each prefix, moves,
+        # for each prefix the places where its tokens begin or end, as bits, and the length
+        # of the longest end of the undecided bytes that begins a longer token]
+        self.root = [-1, b"", (-1,), {}, (1,), 0]
         self.states = {(-1, b""): self.root}
 
+    def _halves(self, token: int) -> tuple[int, int]:
+        """The last merge of a token's own bytes; the token twice, if merging doesn't make it."""
+        known = self.halves.get(token)
+        if known is None:
+            text = self.tokens[token]
+            ends = [(i, j) for i in range(len(text)) for j in range(i + 1, len(text) + 1)]
+            found = {text[i:j]: self.ranks.get(text[i:j]) for i, j in ends}
+            # single bytes are there from the start, whatever their rank
+            below = {t: r for t, r in found.items() if r is not None and (r < token or len(t) == 1)}
+            parts = merge_bytes(below, text) if len(text) > 1 else [token]
+            known = self.halves[token] = (parts[0], parts[1]) if len(parts) == 2 else (token, token)
+        return known
+
     def _allowed(self, left: int, right: int) -> bool:
+        """Whether merging the bytes of both, or of ``right`` alone, leaves just these tokens."""
         if left < 0:
-            known = self.alone.get(right)
-            if known is None:
-                known = self.alone[right] = merge_bytes(self.ranks, self.tokens[right]) == [right]
-            return known
+            return self.sizes[right] == 1 or self._halves(right)[0] != right
         pair = (left, right)
         known = self.beside.get(pair)
         if known is None:
-            both = self.tokens[left] + self.tokens[right]
             if len(self.beside) > 1_000_000:
                 self.beside.clear()
-            known = self.beside[pair] = merge_bytes(self.ranks, both) == [left, right]
+            known = self.beside[pair] = self._apart(left, right)
         return known
 
-    def _last(self, text: bytes, lasts: tuple[int, ...]) -> int:
-        n = len(text)
-        for at in range(max(0, n - self.longest), n):
-            token = self.ranks.get(text[at:])
-            if token is not None and self._allowed(lasts[at], token):
-                return token
-        raise ValueError("the vocabulary lacks a single byte")
+    def _apart(self, left: int, right: int) -> bool:
+        """No merge across the border comes before the merges that make both tokens.
+
+        The tokens at the border are undone step by step, the later merge first. While
+        two stand there, they'd merge unless one was already taken into a larger token.
+        """
+        if not (self._allowed(-1, left) and self._allowed(-1, right)):
+            return False
+        ranks, tokens, sizes = self.ranks, self.tokens, self.sizes
+        # rank at which the left or the right border token goes into a larger one, and which it was
+        left_gone = right_gone = 1 << 62
+        while True:
+            across = ranks.get(tokens[left] + tokens[right])
+            # ties between equal ranks go to the left: the left token's own merge comes first
+            if across is not None and across < left_gone and across <= right_gone:
+                return False
+            whole_left, whole_right = sizes[left] == 1, sizes[right] == 1
+            if whole_left and whole_right:
+                return True
+            if whole_right or (not whole_left and left > right):
+                left_gone, left = left, self._halves(left)[1]
+            else:
+                right_gone, right = right, self._halves(right)[0]
 
     def _tokens(self, lasts: tuple[int, ...], end: int) -> list[int]:
         """Tokens up to ``end``, in order."""
         out = []
+        sizes = self.sizes
         while end > 0:
             out.append(lasts[end])
-            end -= len(self.tokens[lasts[end]])
+            end -= sizes[lasts[end]]
         return out[::-1]
 
     def move(self, state: list, byte: int) -> tuple[list, tuple[int, ...]]:
-        text = state[1] + bytes([byte])
-        last = self._last(text, state[2])
-        lasts = state[2] + (last,)
+        emitted_last, before, lasts, moves, places, depth = state
+        text = before + bytes((byte,))
         n = len(text)
-        places = state[4] + (1 << n | state[4][n - len(self.tokens[last])],)
-        depth = min(n, self.longest)
-        while depth and text[n - depth :] not in self.starts:
+        # what ends here and is a token, or begins one, began by the byte before
+        ranks, allowed = self.ranks, self._allowed
+        for at in range(n - depth - 1, n):
+            last = ranks.get(text[at:])
+            if last is not None and allowed(lasts[at], last):
+                break
+        else:
+            raise ValueError("the vocabulary lacks a single byte")
+        starts = self.starts
+        depth += 1
+        while depth and text[n - depth :] not in starts:
             depth -= 1
-        shared = places[n]
+        lasts += (last,)
+        shared = place = 1 << n | places[n - self.sizes[last]]
+        places += (place,)
         for live in range(n - depth, n):
             shared &= places[live]
+            if shared == 1:
+                break
         # the last place that every continuation shares
         cut = (shared & ((2 << (n - depth)) - 1)).bit_length() - 1
-        emitted = tuple(self._tokens(lasts, cut)) if cut else ()
-        key = (lasts[cut], text[cut:])
+        if cut:
+            emitted = tuple(self._tokens(lasts, cut))
+            emitted_last, text, lasts = lasts[cut], text[cut:], lasts[cut:]
+            places = tuple([p >> cut for p in places[cut:]])
+        else:
+            emitted = ()
+        key = (emitted_last, text)
         target = self.states.get(key)
         if target is None:
-            target = self.states[key] = [lasts[cut], text[cut:], lasts[cut:], {}, tuple(p >> cut for p in places[cut:])]
-        state[3][byte] = move = (target, emitted)
+            target = self.states[key] = [emitted_last, text, lasts, {}, places, depth]
+        moves[byte] = move = (target, emitted)
         return move
 
     def encode(self, word: bytes) -> list[int]:
