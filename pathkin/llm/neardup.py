@@ -18,13 +18,15 @@ exact weighted Jaccard similarity; the plain similarity of the sets of elements
 counts too, so that copies whose changed words are rare ones are not lost.
 
 Members that are not joined to it that way may still be links of each other or of
-joined members. For these pairs two bounds hold, and only pairs within both are
-compared exactly, so no link is lost. One minus either similarity is a metric, so the
-distances of a link to the leader differ by at most one minus the threshold. And a
-member's differences from the leader, elements it lacks and elements it adds, are
-kept as bits: a bit that only one member has is an element that only the other, or
-only it, holds, which limits what they can share. The bounds are taken over blocks of
-``SLOT`` members with ``SLOT`` open ones, and a pair is named in its first bucket only.
+joined members. All that two members of one leader share is told by how each differs
+from the leader: what one holds less what it adds and the other lacks, plus what
+both add or both lack. So the first comparison keeps every member's differences, and
+these pairs are decided exactly without their texts. Two bounds go before: one minus
+either similarity is a metric, so the distances of a link to the leader differ by at most
+one minus the threshold; and the differences are kept as bits, too, where a bit that only
+one member has is an element that only the other, or only it, holds. Blocks of about
+``SLOT`` members meet in a grid, so no task holds a group. A pair whose classes are joined
+already tells nothing, so a block emits no more links than it has members.
 
 Classes are the connected parts of the links. Exact copies share a text, are
 sampled once, and get its class. Null texts count as empty; empty texts are copies
@@ -43,7 +45,9 @@ from pathkin.session import stage as written
 
 BUCKETS = 1 << 16
 SIZE = 5
-SLOT = 256
+SLOT = 512
+# characters of a leader's members in one slot
+SLOT_CHARS = 4_000_000
 _PRIME = np.uint64(0x100000001B3)
 
 
@@ -98,6 +102,8 @@ def weighted(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # least weights of the classes of occurrences; a last class holds first occurrences
 LEAST = np.array([1.0, 2.5, 3.3])
 PLACES = 512
+# what the first comparison keeps of a member's differences
+TOLD = ["names", "costs", "firsts", "w_adds", "w_lacks", "n_adds", "n_lacks"]
 
 
 def occurrences(runs: np.ndarray, value: np.ndarray, counts: np.ndarray):
@@ -124,6 +130,52 @@ def differences(leader, member) -> bytes:
     return bits(*(x[lacks] for x in leader)) + bits(*(x[adds] for x in member))
 
 
+def apart(leader, member) -> tuple[bytes, bytes, bytes, float, float, int, int]:
+    """What the member adds or lacks: names, weights, firsts; then the sums of adds and of lacks."""
+    lacks = ~np.isin(leader[0], member[0], assume_unique=True)
+    adds = ~np.isin(member[0], leader[0], assume_unique=True)
+    names, weight, first = (np.r_[l[lacks], m[adds]] for l, m in zip(leader, member))
+    order = np.argsort(names)
+    n = int(lacks.sum())
+    sums = float(weight[n:].sum()), float(weight[:n].sum()), int(first[n:].sum()), int(first[:n].sum())
+    return names[order].tobytes(), weight[order].tobytes(), first[order].tobytes(), *sums
+
+
+def told(x: dict, i: int, y: dict, j: int) -> float:
+    """The greater similarity of two members of one leader, from their differences alone."""
+    a, b = x["names"][i], y["names"][j]
+    _, at, _ = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    both, firsts = x["costs"][i][at].sum(), int(x["firsts"][i][at].sum())
+    shared = x["weight"][i] - x["w_adds"][i] - y["w_lacks"][j] + both
+    plain = x["n"][i] - x["n_adds"][i] - y["n_lacks"][j] + firsts
+    # sums in another order differ in the last places
+    return max((shared + 1e-9) / (x["weight"][i] + y["weight"][j] - shared), plain / (x["n"][i] + y["n"][j] - plain))
+
+
+def joining(x: dict, y: dict, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the classes of two blocks, one at most for every two classes not yet joined."""
+    i, j = np.nonzero(
+        possible(x, y, threshold)
+        & (x["part"][:, None] != y["part"][None, :])
+        # a pair of two open members is met from both sides
+        & (~y["open"][None, :] | (x["mark"][:, None] < y["mark"][None, :]))
+    )
+    to: dict[str, str] = {}
+
+    def top(part):
+        while part in to:
+            part = to[part]
+        return part
+
+    kept = []
+    for at, (k, m) in enumerate(zip(i.tolist(), j.tolist())):
+        one, other = top(x["part"][k]), top(y["part"][m])
+        if one != other and told(x, k, y, m) >= threshold:
+            to[one] = other
+            kept.append(at)
+    return x["mark"][i[kept]], y["mark"][j[kept]]
+
+
 def possible(x: dict, y: dict, threshold: float) -> np.ndarray:
     """Which pairs of two blocks with one leader may be links; never false for a link."""
 
@@ -160,32 +212,43 @@ _R = _rng.gamma(2.0, size=BUCKETS)
 _LOG_C = np.log(_rng.gamma(2.0, size=BUCKETS))
 _B = _rng.random(BUCKETS)
 _ODD = _rng.integers(0, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# what a sample minimises is _PLAIN - r * t; where every weight is one, t is 0
+_PLAIN = (_LOG_C + _R * _B - _R).astype(np.float32)
+_STEP, _RATE, _SHIFT = _R.astype(np.float32), (1 / _R).astype(np.float32), _B.astype(np.float32)
+# places looked at in one go, so that they stay in the processor's cache
+_AT_ONCE = 1 << 15
+
+
+def _drawn(runs: np.ndarray, first: int, count: int):
+    """Places of the random table for some samples at a time, and which samples they are."""
+    step = max(1, _AT_ONCE // len(runs))
+    for k in range(0, count, step):
+        odd = _ODD[first + k : first + min(count, k + step), None]
+        with np.errstate(over="ignore"):
+            yield slice(k, k + len(odd)), ((runs[None, :] * odd) >> np.uint64(48)).astype(np.intp)
 
 
 def samples(runs: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
     """One 64-bit value for each sample: the element and its t."""
-    logs = np.log(weights)
+    logs = np.log(weights).astype(np.float32)
     out = np.zeros(count, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(count):
-            at = ((runs * _ODD[k]) >> np.uint64(48)).astype(np.int64)
-            r, b = _R[at], _B[at]
-            t = np.floor(logs / r + b)
-            best = int(np.argmin(_LOG_C[at] - r * (t - b) - r))
-            out[k] = runs[best] + np.uint64(int(t[best]) & 0xFFFF) * _ODD[k]
+    for which, at in _drawn(runs, 0, count):
+        t = _RATE.take(at)
+        t *= logs
+        t += _SHIFT.take(at)
+        np.floor(t, out=t)
+        best = (_PLAIN.take(at) - _STEP.take(at) * t).argmin(axis=1)
+        steps = t[np.arange(len(best)), best].astype(np.int64).view(np.uint64) & np.uint64(0xFFFF)
+        with np.errstate(over="ignore"):
+            out[which] = runs[best] + steps * _ODD[:count][which]
     return mixed(out)
 
 
-# what a sample minimises where every weight is one: t is 0
-_PLAIN = _LOG_C + _R * _B - _R
-
-
 def plain_samples(runs: np.ndarray, count: int) -> np.ndarray:
     """As ``samples`` with unit weights, by other places of the table."""
     out = np.zeros(count, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(count):
-            out[k] = runs[np.argmin(_PLAIN[(runs * _ODD[128 + k]) >> np.uint64(48)])]
+    for which, at in _drawn(runs, 128, count):
+        out[which] = runs[_PLAIN.take(at).argmin(axis=1)]
     return mixed(out)
 
 
@@ -276,104 +339,92 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
     leaders = crowded.join(met, "mark").groupBy("band").agg(F.max(F.struct("met", "mark"))["mark"].alias("leader"))
     buckets = written(crowded.select("band", "mark").join(leaders, "band"), "buckets")
 
-    def verify(batches, outlined):
+    def verify(batches):
         kept = {}
         for batch in batches:
             out = []
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"]):
+            for a, b, slot, slots, x, y in batch[["a", "b", "slot", "slots", "x", "y"]].itertuples(index=False):
                 if a not in kept:
                     kept.clear()
                     runs, value, counts = elements(x, shared.value)
                     kept[a] = (runs, value * counts), occurrences(runs, value, counts)
                 runs, value, counts = elements(y, shared.value)
                 both = similarity(kept[a][0], (runs, value * counts))
-                bits = differences(kept[a][1], occurrences(runs, value, counts)) if outlined else None
-                out.append((a, b, *both, len(runs), float((value * counts).sum()), bits))
-            yield pd.DataFrame(out, columns=["a", "b", "s", "plain", "n", "weight", "bits"])
+                mine = occurrences(runs, value, counts)
+                size = len(runs), float((value * counts).sum())
+                out.append((a, b, slot, slots, *both, *size, differences(kept[a][1], mine), *apart(kept[a][1], mine)))
+            yield pd.DataFrame(out, columns=["a", "b", "slot", "slots", "s", "plain", "n", "weight", "bits", *TOLD])
 
     sample_text = texts.select("mark", "doc_id")
-
-    def verified(pairs: DataFrame, name: str, outlined: bool = False) -> DataFrame:
-        # one copy of each text that a pair names
-        named = pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))).distinct()
-        kept_texts = marked.join(named, "mark", "left_semi").groupBy("mark").agg(F.any_value("text").alias("text"))
-        kept_texts = written(kept_texts, f"{name}-texts")
-        # a text with many partners is dealt over as many slots as its pairs fill
-        slots = pairs.groupBy("a").agg(F.ceil(F.count("*") / SLOT).cast("int").alias("slots"))
-        dealt = pairs.join(slots, "a").withColumn("slot", F.pmod(F.xxhash64("b"), F.col("slots")).cast("int"))
-        right = dealt.join(kept_texts.select(F.col("mark").alias("b"), F.col("text").alias("y")), "b")
-        left = kept_texts.join(slots, F.col("mark") == F.col("a")).select(
-            "a", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.col("text").alias("x")
-        )
-        full = right.join(left, ["a", "slot"])
-        made = full.select("a", "b", "x", "y").mapInPandas(
-            lambda batches: verify(batches, outlined),
-            "a string, b string, s double, plain double, n long, weight double, bits binary",
-        )
-        return written(made, name)
-
-    first = verified(
-        buckets.where("mark <> leader").select(F.col("leader").alias("a"), F.col("mark").alias("b")).distinct(),
+    pairs = written(
+        buckets.where("mark <> leader").select(F.col("leader").alias("a"), F.col("mark").alias("b")).distinct(), "pairs"
+    )
+    # one copy of each text that a pair names
+    paired = pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))).distinct()
+    kept_texts = marked.join(paired, "mark", "left_semi").groupBy("mark").agg(F.any_value("text").alias("text"))
+    kept_texts = written(kept_texts.withColumn("size", F.length("text")), "first-texts")
+    # a leader is dealt over as many slots as its members and their texts fill
+    slots = written(
+        pairs.join(kept_texts.select(F.col("mark").alias("b"), "size"), "b")
+        .groupBy("a")
+        .agg(F.greatest(F.ceil(F.count("*") / SLOT), F.ceil(F.sum("size") / SLOT_CHARS), F.lit(1)).cast("int").alias("slots")),
+        "slots",
+    )
+    dealt = pairs.join(slots, "a").withColumn("slot", F.pmod(F.xxhash64("b"), F.col("slots")).cast("int"))
+    right = dealt.join(kept_texts.select(F.col("mark").alias("b"), F.col("text").alias("y")), "b")
+    left = kept_texts.join(slots, F.col("mark") == F.col("a")).select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.col("text").alias("x")
+    )
+    first = written(
+        right.join(left, ["a", "slot"]).select("a", "b", "slot", "slots", "x", "y").mapInPandas(
+            verify,
+            "a string, b string, slot int, slots int, s double, plain double, n long, weight double, bits binary, "
+            "names binary, costs binary, firsts binary, w_adds double, w_lacks double, n_adds long, n_lacks long",
+        ),
         "first",
-        outlined=True,
     )
     linked = F.greatest("s", "plain") >= threshold
-    links = first.where(linked)
-    parts = components(links.select("a", "b"))
-    # members that are not in their leader's part meet the rest of the bucket
-    known = parts.withColumnRenamed("node", "mark")
-    placed = (
-        buckets.where("mark <> leader")  # leaders were compared with every member
-        .join(known, "mark", "left")
-        .join(known.select(F.col("mark").alias("leader"), F.col("part").alias("lead_part")), "leader", "left")
-        .select(
-            "band", "mark", "leader", F.coalesce("part", "mark").alias("part"),
-            (F.coalesce("part", "mark") != F.coalesce("lead_part", "leader")).alias("open"),
-        )
+    links = first.where(linked).select("a", "b")
+    parts = components(links)
+    # members without a link to their leader meet the others that the leader has
+    placed = first.join(parts.select(F.col("node").alias("b"), "part"), "b", "left").select(
+        F.col("a").alias("leader"), "slot", "slots", F.col("b").alias("mark"), F.coalesce("part", "b").alias("part"),
+        (~linked).alias("open"), (1 - F.col("s")).alias("far"), (1 - F.col("plain")).alias("apart"),
+        "n", "weight", "bits", *TOLD,
     )
-    placed = written(placed, "placed")
-    unsettled = placed.groupBy("band").agg(F.count("*").alias("n_all"), F.count_if("open").alias("n_open")).where("n_open > 0")
-    detailed = (
-        placed.join(unsettled, "band")
-        .join(
-            first.select(
-                F.col("a").alias("leader"), F.col("b").alias("mark"), (1 - F.col("s")).alias("far"),
-                (1 - F.col("plain")).alias("apart"), "n", "weight", "bits",
-            ),
-            ["leader", "mark"],
-        )
-        .join(texts.select("mark", "bands"), "mark")
-    )
-    member_row = F.struct("mark", "part", "far", "apart", "n", "weight", "bits", "bands")
+    member_row = F.struct("mark", "part", "open", "far", "apart", "n", "weight", "bits", *TOLD)
 
-    def blocks(rows: DataFrame, count: str, name: str) -> DataFrame:
-        # about SLOT members in a block, whatever the bucket's size
-        slot = F.pmod(F.xxhash64("mark"), F.ceil(F.col(count) / SLOT)).cast("int")
-        return rows.groupBy("band", slot.alias("slot")).agg(F.collect_list(member_row).alias(name)).select("band", name)
+    def blocks(rows: DataFrame, mine: str, other: str, name: str) -> DataFrame:
+        # a block for each slot, once for every slot that it meets
+        made = rows.groupBy("leader", "slots", F.col("slot").alias(mine)).agg(F.collect_list(member_row).alias(name))
+        return made.withColumn(other, F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).drop("slots")
 
-    detailed = written(detailed, "detailed")
-    met_blocks = blocks(detailed.where("open"), "n_open", "x").join(blocks(detailed, "n_all", "y"), "band")
+    placed = written(placed, "placed")
+    unsettled = placed.where("open").select("leader", "slots").distinct().select(
+        "leader", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot")
+    )
+    met_blocks = blocks(placed.where("open"), "i", "j", "x").join(
+        blocks(placed.join(unsettled, ["leader", "slot"], "left_semi"), "j", "i", "y"), ["leader", "i", "j"]
+    )
 
     def unpacked(rows) -> dict:
-        out = {k: np.array([r[k] for r in rows], dtype=float) for k in ("far", "apart", "n", "weight")}
+        numbers = ("far", "apart", "n", "weight", "w_adds", "w_lacks", "n_adds", "n_lacks")
+        out = {k: np.array([r[k] for r in rows], dtype=float) for k in numbers}
         bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in rows), dtype=np.uint64)
         bits = bits.reshape(len(rows), 2, len(LEAST) + 1, PLACES // 64)
-        out |= {"lacks": bits[:, 0], "adds": bits[:, 1], "bands": np.array([list(r["bands"]) for r in rows], dtype=np.int64)}
+        out |= {"lacks": bits[:, 0], "adds": bits[:, 1], "open": np.array([r["open"] for r in rows], dtype=bool)}
+        for k, kind in (("names", np.uint64), ("costs", np.float64), ("firsts", bool)):
+            out[k] = [np.frombuffer(bytes(r[k]), dtype=kind) for r in rows]
         return out | {k: np.array([r[k] for r in rows]) for k in ("mark", "part")}
 
     def candidates(batches):
         for batch in batches:
-            for band, x, y in zip(batch["band"], batch["x"], batch["y"]):
-                x, y = unpacked(x), unpacked(y)
-                i, j = np.nonzero(possible(x, y, threshold) & (x["part"][:, None] != y["part"][None, :]))
-                both = x["bands"][i] == y["bands"][j]
-                here = x["bands"][i, both.argmax(axis=1)] == band  # the first band they share
-                a, b = x["mark"][i[here]], y["mark"][j[here]]
-                yield pd.DataFrame({"a": np.where(a < b, a, b), "b": np.where(a < b, b, a)}, dtype=object)
-
-    pairs = met_blocks.mapInPandas(candidates, "a string, b string").distinct()
-    more = verified(pairs, "second").where(linked)
-    parts = components(links.select("a", "b").union(more.select("a", "b")))
+            for x, y in zip(batch["x"], batch["y"]):
+                a, b = joining(unpacked(x), unpacked(y), threshold)
+                yield pd.DataFrame({"a": a, "b": b}, dtype=object)
+
+    more = met_blocks.select("x", "y").mapInPandas(candidates, "a string, b string")
+    parts = components(links.union(more))
     named = sample_text.join(parts.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
         "part", F.coalesce("part", "mark")
     )
