@@ -43,7 +43,8 @@ def units(text: str) -> set[str]:
     words.update(re.sub(r"\s", "", run) for run in _SPACED.findall(text))
     out = set()
     for word in words:
-        word = _EDGE.sub("", word)
+        if not (word[0].isalnum() and word[-1].isalnum()):
+            word = _EDGE.sub("", word)
         if len(word) > 2:
             word = "^" + word  # where a word begins tells, too
         if len(word) <= WINDOW:
@@ -66,23 +67,25 @@ class Kernel:
         self.landmarks, self.order, self.decay = landmarks, order, decay
         self.width = max(map(len, landmarks))
         alphabet = sorted(set("".join(landmarks)))
-        self.codes = {c: i + 1 for i, c in enumerate(alphabet)}
+        self.alphabet = np.array([ord(c) for c in alphabet], dtype=np.uint32)
+        codes = {c: i + 1 for i, c in enumerate(alphabet)}
         self.same = np.zeros((len(alphabet) + 1, len(landmarks), self.width), dtype=np.float32)
         for m, word in enumerate(landmarks):
             for j, c in enumerate(word):
-                self.same[self.codes[c], m, j] = decay**2
+                self.same[codes[c], m, j] = decay**2
         reach = np.arange(self.width)
         # weight that what ended at j has for the place after it
         gap = reach[None, :] - reach[:, None] - 1
         self.before = np.where(gap >= 0, decay ** np.maximum(gap, 0), 0).astype(np.float32)
-        self.own = np.sqrt([self._self(np.array([self._encode_any(w)]))[0] for w in landmarks])
+        # rows by character: its places in every landmark, and the weight these have further on
+        self.flat = self.same.reshape(len(self.same), -1)
+        self.onward = (self.same @ self.before).reshape(len(self.same), -1)
+        self.own = np.sqrt([self._self(np.array([[ord(c) for c in w]]))[0] for w in landmarks])
 
-    def _encode(self, word: str) -> list[int]:
-        get = self.codes.get
-        return [get(c, 0) for c in word]
-
-    def _encode_any(self, word: str) -> list[int]:
-        return [ord(c) for c in word]
+    def _encode(self, letters: np.ndarray) -> np.ndarray:
+        """Numbers of the landmarks' letters; 0 for all others."""
+        at = np.minimum(np.searchsorted(self.alphabet, letters), len(self.alphabet) - 1)
+        return np.where(self.alphabet[at] == letters, at + 1, 0)
 
     def _run(self, steps) -> np.ndarray:
         sums, total = None, 0
@@ -100,6 +103,35 @@ class Kernel:
                 held += new @ self.before
         return total
 
+    def _cross(self, codes: np.ndarray) -> np.ndarray:
+        """What ``_run`` gives for sorted words of one length against all landmarks.
+
+        Words that begin alike share their sums: a step works on distinct beginnings.
+        """
+        words, n = codes.shape
+        width = self.flat.shape[1]
+        begins = np.ones((words, n), dtype=bool)
+        np.logical_or.accumulate(codes[1:] != codes[:-1], axis=1, out=begins[1:])
+        node = np.cumsum(begins, axis=0) - 1
+        held = [np.zeros((1, width), dtype=np.float32) for _ in range(self.order - 1)]
+        total = np.zeros((1, width), dtype=np.float32)
+        for i in range(n):
+            heads = np.flatnonzero(begins[:, i])
+            letters = codes[heads, i]
+            if len(heads) > len(total):
+                parent = node[heads, i - 1] if i else np.zeros(len(heads), dtype=np.int64)
+                held, total = [h[parent] for h in held], total[parent]
+            match = self.flat[letters]
+            ends = [match * h for h in held]
+            total += ends[-1]
+            for k, before in enumerate(held):
+                before *= self.decay
+                if k:
+                    before += (ends[k - 1].reshape(-1, self.width) @ self.before).reshape(before.shape)
+                else:
+                    before += self.onward[letters]
+        return total.reshape(len(total), -1, self.width).sum(axis=-1)[node[:, -1]]
+
     def _self(self, codes: np.ndarray) -> np.ndarray:
         n = codes.shape[1]
         same = (codes[:, :, None] == codes[:, None, :]).astype(np.float32) * self.decay**2
@@ -116,18 +148,16 @@ class Kernel:
 
     def alike(self, words: list[str], chunk: int = 512) -> np.ndarray:
         out = np.zeros((len(words), len(self.landmarks)), dtype=np.float32)
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        at = 0
-        while at < len(order):
-            n = len(words[order[at]])
-            mine = []
-            while at < len(order) and len(words[order[at]]) == n and len(mine) < chunk:
-                mine.append(order[at])
-                at += 1
-            codes = np.array([self._encode(words[i]) for i in mine])
-            cross = self._run(self.same[codes[:, i]] for i in range(n))
-            own = self._self(np.array([self._encode_any(words[i]) for i in mine]))
-            out[mine] = cross / (np.sqrt(own)[:, None] * self.own)
+        by_length: dict[int, list[int]] = {}
+        for i in sorted(range(len(words)), key=words.__getitem__):
+            by_length.setdefault(len(words[i]), []).append(i)
+        for n, same in by_length.items():
+            for at in range(0, len(same), chunk):
+                mine = same[at : at + chunk]
+                text = "".join([words[i] for i in mine]).encode("utf-32-le", "surrogatepass")
+                letters = np.frombuffer(text, dtype="<u4").reshape(len(mine), n)
+                own = self._self(letters)
+                out[mine] = self._cross(self._encode(letters)) / (np.sqrt(own)[:, None] * self.own)
         return out
 
 
@@ -211,9 +241,9 @@ class Model:
         bags = [units(t) for t in texts]
         new = list({u for b in bags for u in b if u not in known})
         fresh = dict(zip(new, self.decisions(new).tolist())) if new else {}
-        out = []
+        out, get = [], known.get
         for bag in bags:
-            best = max((known[u] if u in known else fresh[u] for u in bag), default=-1.0)
+            best = max([fresh[u] if (value := get(u)) is None else value for u in bag], default=-1.0)
             out.append(1 / (1 + math.exp(-self.line * max(-20.0, min(20.0, best - self.middle)))))
         if len(known) < keep:
             known.update(fresh)
