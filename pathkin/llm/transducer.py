@@ -5,8 +5,10 @@ it is the one suffix token that may stand beside the last token of what precedes
 it. A state is the last emitted token and the bytes not yet decided; reading a
 byte moves to the next state and emits the tokens that every continuation shares.
 Continuations can only start at the longest suffix that begins some token, so the
-lookahead is bounded by the longest token. States and transitions are made when
-first met and kept in a table of bounded size.
+lookahead is bounded by the longest token. States and transitions are kept in a
+table of bounded size. A transition's state is made when the transition is met a
+second time: most ends of words are met once, so the first time what is left of a
+short word is decided from the state reached, byte by byte, without further states.
 
 Null texts count as empty. A repeated row gives a repeated result; extra columns
 are ignored; an empty table gives no rows.
@@ -17,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 from functools import lru_cache
 from pathlib import Path
 
@@ -47,7 +50,7 @@ def merge_bytes(ranks: dict[bytes, int], word: bytes) -> list[int]:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.sizes = {i: len(t) for t, i in ranks.items()}
@@ -65,6 +68,8 @@ class Transducer:
         # of the longest end of the undecided bytes that begins a longer token]
         self.root = [-1, b"", (-1,), {}, (1,), 0]
         self.states = {(-1, b""): self.root}
+        # what the first bytes of long words lead to: the state and the tokens emitted so far
+        self.heads: dict[bytes, tuple[list, list[int]]] = {}
 
     def _halves(self, token: int) -> tuple[int, int]:
         """The last merge of a token's own bytes; the token twice, if merging doesn't make it."""
@@ -81,14 +86,16 @@ class Transducer:
 
     def _allowed(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both, or of ``right`` alone, leaves just these tokens."""
-        if left < 0:
-            return self.sizes[right] == 1 or self._halves(right)[0] != right
         pair = (left, right)
         known = self.beside.get(pair)
         if known is None:
             if len(self.beside) > 1_000_000:
                 self.beside.clear()
-            known = self.beside[pair] = self._apart(left, right)
+            if left < 0:
+                known = self.sizes[right] == 1 or self._halves(right)[0] != right
+            else:
+                known = self._apart(left, right)
+            self.beside[pair] = known
         return known
 
     def _apart(self, left: int, right: int) -> bool:
@@ -162,24 +169,65 @@ class Transducer:
         moves[byte] = move = (target, emitted)
         return move
 
-    def encode(self, word: bytes) -> list[int]:
+    def _rest(self, state: list, rest: bytes) -> list[int]:
+        """Tokens of what the state has not decided and ``rest``, which ends the word."""
+        _, before, lasts, _, _, depth = state
+        text, lasts = before + rest, list(lasts)
+        ranks, starts, beside, allowed = self.ranks.get, self.starts, self.beside.get, self._allowed
+        for n in range(len(before) + 1, len(text) + 1):
+            for at in range(n - depth - 1, n):
+                last = ranks(text[at:n])
+                if last is not None:
+                    left = lasts[at]
+                    fits = beside((left, last))
+                    if allowed(left, last) if fits is None else fits:
+                        break
+            else:
+                raise ValueError("the vocabulary lacks a single byte")
+            lasts.append(last)
+            depth += 1
+            while depth and text[n - depth : n] not in starts:
+                depth -= 1
+        return self._tokens(lasts, len(text))
+
+    def encode(self, word: bytes, short: int = 64, head: int = 5) -> list[int]:
         whole = self.ranks.get(word)
         if whole is not None:
             return [whole]
         if len(self.states) > self.max_states:
             self.clear()
-        state, out = self.root, []
-        for byte in word:
-            move = state[3].get(byte) or self.move(state, byte)
+        met = self.heads.get(word[:head])
+        if met is None:
+            state, out, at = self.root, [], 0
+        else:
+            (state, out), at = met, head
+            out = out[:]
+        size = len(word)
+        while at < size:
+            byte = word[at]
+            move = state[3].get(byte)
+            if not move:
+                if move is None and size - at <= short:
+                    state[3][byte] = ()
+                    return out + self._rest(state, word[at:])
+                move = self.move(state, byte)
             state = move[0]
-            out += move[1]
+            if move[1]:
+                out += move[1]
+            at += 1
+            if at == head:
+                self.heads[word[:head]] = state, out[:]
         return out + self._tokens(state[2], len(state[1]))
 
 
 class TextIds:
-    """Ids of whole texts as little-endian bytes; at most ``keep`` pieces and chunks are remembered."""
+    """Ids of whole texts as little-endian bytes.
+
+    At most ``keep`` pieces and chunks are remembered, in two halves: when the newer half
+    is full it becomes the older one, and what is met again there goes to the newer.
+    """
 
-    def __init__(self, ranks_path: str, keep: int = 800_000):
+    def __init__(self, ranks_path: str, keep: int = 1_200_000):
         import regex
 
         lines = Path(ranks_path).read_bytes().splitlines()
@@ -189,36 +237,43 @@ class TextIds:
         self.keep = keep
         # a piece and a chunk of the same characters have the same ids
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _remember(self, piece: str, ids: bytes) -> bytes:
         if len(piece) < 64:
-            if len(self.known) >= self.keep:
-                self.known.clear()
+            if len(self.known) >= self.keep // 2:
+                self.older, self.known = self.known, {}
             self.known[piece] = ids
         return ids
 
     def _piece(self, piece: str) -> bytes:
-        return self._remember(piece, np.asarray(self.transducer.encode(piece.encode()), dtype="<u4").tobytes())
+        before = self.older.get(piece)
+        if before:
+            return self._remember(piece, before)
+        ids = self.transducer.encode(piece.encode())
+        return self._remember(piece, struct.pack(f"<{len(ids)}I", *ids))
 
     def _chunk(self, chunk: str) -> bytes:
-        get = self.known.get
+        before = self.older.get(chunk)
+        if before:
+            return self._remember(chunk, before)
         pieces = self.split(chunk)
-        ids = b"".join([get(p) or self._piece(p) for p in pieces])
-        return ids if len(pieces) == 1 else self._remember(chunk, ids)
+        if len(pieces) == 1:
+            return self._piece(chunk)
+        ids = b"".join([self.known.get(p) or self._piece(p) for p in pieces])
+        return self._remember(chunk, ids)
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
         if _BESIDE_SPACE.search(text):
-            get = self.known.get
-            return b"".join([get(p) or self._piece(p) for p in self.split(text)])
+            return b"".join([self.known.get(p) or self._piece(p) for p in self.split(text)])
         # the pattern always breaks before a lone space, so these chunks are whole pieces
-        get = self.known.get
         first, *rest = text.split(" ")
-        out = [get(first) or self._chunk(first)] if first else []
+        out = [self.known.get(first) or self._chunk(first)] if first else []
         for word in rest:
             chunk = " " + word
-            out.append(get(chunk) or self._chunk(chunk))
+            out.append(self.known.get(chunk) or self._chunk(chunk))
         return b"".join(out)
 
 
