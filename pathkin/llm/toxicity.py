@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -237,16 +239,26 @@ class Model:
     def decisions(self, words: list[str]) -> np.ndarray:
         return self._features(words) @ self.weights if words else np.zeros(0)
 
-    def scores(self, texts: list[str], known: dict[str, float], keep: int = 400_000) -> list[float]:
+    def scores(self, texts: list[str], known: list[dict[str, float]], keep: int = 800_000) -> list[float]:
+        """Scores of texts; ``known`` are two halves, newer and older, of units met before.
+
+        When the newer half has ``keep / 2`` units it becomes the older one.
+        """
         bags = [units(t) for t in texts]
-        new = list({u for b in bags for u in b if u not in known})
-        fresh = dict(zip(new, self.decisions(new).tolist())) if new else {}
-        out, get = [], known.get
+        newer, older = known
+        met = set().union(*bags) - newer.keys()
+        fresh = {u: older[u] for u in met & older.keys()}
+        new = list(met - fresh.keys())
+        if new:
+            fresh.update(zip(new, self.decisions(new).tolist()))
+        if len(newer) + len(fresh) > keep // 2:
+            known[:] = fresh, newer
+        else:
+            newer.update(fresh)
+        out = []
         for bag in bags:
-            best = max([fresh[u] if (value := get(u)) is None else value for u in bag], default=-1.0)
+            best = max([newer[u] if (value := fresh.get(u)) is None else value for u in bag], default=-1.0)
             out.append(1 / (1 + math.exp(-self.line * max(-20.0, min(20.0, best - self.middle)))))
-        if len(known) < keep:
-            known.update(fresh)
         return out
 
 
@@ -264,20 +276,26 @@ def fit(spark: SparkSession, sf_dir: str, sample: int = 1000, max_chars: int = 2
     return Model(toxic, clean) if toxic and clean else None
 
 
+@lru_cache(maxsize=1)
+def _known(key: str) -> list[dict[str, float]]:
+    """Units that this worker has scored with the model of that key."""
+    return [{}, {}]
+
+
 def scored(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.withColumn("text", whole_text(docs)).select(*keep, *(["text"] if "text" not in keep else []))
     if model is None:
         return docs.withColumn("score", F.lit(0.0))
-    shared = spark.sparkContext.broadcast(model)
+    shared, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def score(batches):
-        known: dict[str, float] = {}
+        known = _known(key)
         for texts in batches:
             yield pd.Series(shared.value.scores(texts.tolist(), known), dtype=float)
 
-    # an iterator function, so that words met before are scored once a task
+    # an iterator function, so that a worker's tasks share the words that it has scored
     from collections.abc import Iterator
 
     score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
