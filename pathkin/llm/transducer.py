@@ -173,8 +173,9 @@ class Transducer:
         """Tokens of what the state has not decided and ``rest``, which ends the word."""
         _, before, lasts, _, _, depth = state
         text, lasts = before + rest, list(lasts)
+        size = len(text)
         ranks, starts, beside, allowed = self.ranks.get, self.starts, self.beside.get, self._allowed
-        for n in range(len(before) + 1, len(text) + 1):
+        for n in range(len(before) + 1, size + 1):
             for at in range(n - depth - 1, n):
                 last = ranks(text[at:n])
                 if last is not None:
@@ -185,10 +186,12 @@ class Transducer:
             else:
                 raise ValueError("the vocabulary lacks a single byte")
             lasts.append(last)
-            depth += 1
-            while depth and text[n - depth : n] not in starts:
-                depth -= 1
-        return self._tokens(lasts, len(text))
+            # nothing goes on after the last byte
+            if n < size:
+                depth += 1
+                while depth and text[n - depth : n] not in starts:
+                    depth -= 1
+        return self._tokens(lasts, size)
 
     def encode(self, word: bytes, short: int = 64, head: int = 5) -> list[int]:
         whole = self.ranks.get(word)
@@ -254,7 +257,7 @@ class TextIds:
         return self._remember(piece, struct.pack(f"<{len(ids)}I", *ids))
 
     def _chunk(self, chunk: str) -> bytes:
-        before = self.older.get(chunk)
+        before = self.known.get(chunk) or self.older.get(chunk)
         if before:
             return self._remember(chunk, before)
         pieces = self.split(chunk)
@@ -270,11 +273,12 @@ class TextIds:
             return b"".join([self.known.get(p) or self._piece(p) for p in self.split(text)])
         # the pattern always breaks before a lone space, so these chunks are whole pieces
         first, *rest = text.split(" ")
-        out = [self.known.get(first) or self._chunk(first)] if first else []
-        for word in rest:
-            chunk = " " + word
-            out.append(self.known.get(chunk) or self._chunk(chunk))
-        return b"".join(out)
+        chunks = [" " + word for word in rest]
+        if first:
+            chunks.insert(0, first)
+        get = self.known.get
+        # what is not in the newer half now is looked for, or encoded, in its turn
+        return b"".join([get(chunk) or self._chunk(chunk) for chunk in chunks])
 
 
 class StreamDecoder:
