@@ -197,7 +197,7 @@ class Transducer:
         whole = self.ranks.get(word)
         if whole is not None:
             return [whole]
-        if len(self.states) > self.max_states:
+        if max(len(self.states), len(self.heads)) > self.max_states:
             self.clear()
         met = self.heads.get(word[:head])
         if met is None:

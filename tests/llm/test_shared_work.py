@@ -42,6 +42,39 @@ def test_words_encode_as_plain_merging(ranks):
         assert machine.encode(word) == transducer.merge_bytes(ranks, word)
 
 
+def test_words_met_again_encode_alike(ranks):
+    # the first time the end is decided directly, then states are made, then bytes are jumped over
+    machine, chance = transducer.Transducer(ranks), random.Random(15)
+    heads = ["stati", "heitl", "aaaaa", "éßé"]
+    words = [(chance.choice(heads) + "".join(chance.choices("aeinst-é", k=chance.randrange(80)))).encode() for _ in range(150)]
+    for _ in range(4):
+        for word in words:
+            assert machine.encode(word) == transducer.merge_bytes(ranks, word)
+    assert machine.heads
+
+
+def test_forgotten_words_encode_alike():
+    path = transducer.public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    few, many, chance = transducer.TextIds(path, keep=40), transducer.TextIds(path), random.Random(16)
+    for _ in range(60):
+        text = " ".join("".join(chance.choices("ab.é1\n", k=chance.randrange(0, 5))) for _ in range(40))
+        assert few.ids(text) == many.ids(text)
+        assert len(few.known) <= 20 and len(few.older) <= 20
+    assert few.older
+
+
+def test_toxic_units_are_remembered_in_halves():
+    model = toxicity.Model(["you utter moronic fool"] * 4, ["a quiet street near the river"] * 4)
+    texts = [f"word{i} moronic street number{i % 7}" for i in range(40)] + ["", "a"]
+    whole = model.scores(texts, [{}, {}])
+    known, apart = [{}, {}], []
+    for text in texts * 2:
+        apart += model.scores([text], known, keep=12)
+        assert len(known[0]) <= 6 and len(known[1]) <= 6
+    assert known[1]
+    assert all(abs(a - b) < 1e-4 for a, b in zip(apart, whole * 2))
+
+
 def test_merges_that_tie_go_to_the_left():
     # "aa" can stand at two places of "aaa"; "ab" is never made from "a" and "b" once "aa" is
     ranks = {b"a": 0, b"b": 1, b"aa": 2, b"ab": 3, b"aab": 4, b"ba": 5, b"zz": 7, b"z": 6, b"zzq": 8, b"q": 9}
