@@ -73,3 +73,12 @@ def labelled_sample(
         docs = docs.where(F.length("text") <= max_chars)
     # at most 2 * per_class narrow rows: the sample's bound is the broadcast's bound
     return docs.join(F.broadcast(picked), "doc_id")
+
+
+def meet(index: DataFrame, asked: DataFrame, on: list[str]) -> DataFrame:
+    """Equi-join of blocks with the blocks that ask them; both sides are shuffled.
+
+    Spark judges repeated or packed blocks by the size of the table they come from, and
+    would send all the copies to the driver for a broadcast.
+    """
+    return index.join(asked.hint("merge"), on)

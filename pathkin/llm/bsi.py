@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pathkin.llm.base import ship, table
+from pathkin.llm.base import meet, ship, table
 from pathkin.session import stage
 
 
@@ -215,7 +215,7 @@ def top_products(
         F.col("dims").alias("q_dims"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot"),
     )
-    pairs = index.join(asked, "slot").select("n", "dims", "ids", "cells", "q_dims", "q_ids", "q_cells")
+    pairs = meet(index, asked, ["slot"]).select("n", "dims", "ids", "cells", "q_dims", "q_ids", "q_cells")
 
     def score(batches):
         kept_key, block = None, None

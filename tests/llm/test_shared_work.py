@@ -7,8 +7,9 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
-from pathkin.llm import neardup, toxicity, transducer
+from pathkin.llm import ann, bsi, neardup, negatives, toxicity, transducer
 
 
 @pytest.fixture(scope="module")
@@ -183,3 +184,24 @@ def test_classes_are_those_of_all_pairs(spark, monkeypatch):
                 top = [low if x == high else x for x in top]
     assert rows == dict(enumerate(top))
     assert len(set(top)) > 3
+
+
+def test_blocks_meet_without_a_broadcast(spark):
+    chance = np.random.default_rng(9)
+    made = [(i, i % 3, [float(a) for a in chance.standard_normal(8)]) for i in range(120)]
+    frame = spark.createDataFrame(made, "vec_id long, label int, embedding array<double>")
+    whole = bsi.whole_vectors(frame, "vec_id", "embedding", 64)
+    unit = ann.unit_vectors(frame, "vec_id", "embedding")
+    rows = negatives.whole_rows(frame, "vec_id", "embedding", F.col("label"), 64)
+    few = F.col("id") % 50 == 0
+    # lists of more chunks than buckets
+    near = ann.nearest(unit, unit.where(few), 5, probe_share=1.0, chunk_rows=2, spread=3)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for found in (bsi.top_products(whole, whole.where(few), 10), negatives.hard_negatives(rows, rows.where(few))):
+        assert "BroadcastHashJoin" not in plan(found)
+    assert "SortMergeJoin [list_id" in plan(near)
+    x = {i: np.array(v) / np.linalg.norm(v) for i, _, v in made}
+    for i in (0, 50, 100):
+        want = sorted((k for k in x if k != i), key=lambda k: -float(x[i] @ x[k]))[:5]
+        got = sorted((r.rank, r.vec_id) for r in near.where(F.col("query_id") == i).collect())
+        assert [k for _, k in got] == want
