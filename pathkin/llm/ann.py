@@ -12,7 +12,7 @@ distance among the candidates that look nearest after the first block (16 k of t
 left is scored by its exact cosine on the original vectors.
 
 Lists are at most ``max_lists``, so centres and chunk counts have a fixed bound.
-Chunks of one list go to different tasks. Vectors null, empty, zero or holding null
+Chunks of one list go to up to ``spread`` different tasks. Vectors null, empty, zero or holding null
 or non-finite components take no part, nor do vectors whose length is not that of
 most sample rows. Rows repeated in id and vector count once.
 """
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pathkin.llm.base import ship, table
+from pathkin.llm.base import meet, ship, table
 from pathkin.session import stage
 
 
@@ -93,11 +93,14 @@ def nearest(
     query_rows: int = 1024,
     block_dims: int = 16,
     epsilon: float = 2.1,
+    spread: int = 16,
 ) -> DataFrame:
     """query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     ship(spark)
-    sample = [r.v for r in vectors.orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()]
+    # chosen by the tasks and stored: else each partition sends so many rows to the driver
+    first = stage(vectors.orderBy(F.xxhash64("id"), "id").limit(sample_rows), "ann-sample")
+    sample = [r.v for r in first.collect()]
     schema = "query_id long, rank int, vec_id long, score double"
     if not sample:
         return spark.createDataFrame([], schema)
@@ -132,9 +135,9 @@ def nearest(
         def pack():
             ids, cells = zip(*held)
             x, u = _stack(cells)
-            row = (now[0], len(ids), np.array(ids, dtype=np.int64).tobytes(), x.tobytes(), (u @ rotation).T.tobytes())
+            row = (*now, len(ids), np.array(ids, dtype=np.int64).tobytes(), x.tobytes(), (u @ rotation).T.tobytes())
             held.clear()
-            return pd.DataFrame([row], columns=["list_id", "n", "ids", "vectors", "columns_"])
+            return pd.DataFrame([row], columns=["list_id", "slot", "n", "ids", "vectors", "columns_"])
 
         for batch in batches:
             for j, slot, key, cell in zip(batch["list_id"].tolist(), batch["slot"].tolist(), batch["id"], batch["v"]):
@@ -145,7 +148,7 @@ def nearest(
         if held:
             yield pack()
 
-    chunks = dealt.mapInPandas(build, "list_id int, n int, ids binary, vectors binary, columns_ binary")
+    chunks = dealt.mapInPandas(build, "list_id int, slot int, n int, ids binary, vectors binary, columns_ binary")
     index = stage(chunks, "ann-index")
 
     def ask(batches):
@@ -164,7 +167,17 @@ def nearest(
     blocks = max(1, math.ceil(queries.count() / query_rows))
     blocked = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).repartition("block").drop("block")
     asked = blocked.mapInPandas(ask, "list_id int, q_ids binary, q_vectors binary, q_rotated binary")
-    pairs = index.join(asked, "list_id")
+    # a long list lies in up to ``spread`` buckets, and what asks it comes once for each
+    dealt_to = F.least(F.col("slots"), F.lit(spread))
+    asked = (
+        asked.join(slots, "list_id")
+        .withColumn("bucket", F.explode(F.sequence(F.lit(0), dealt_to - 1)))
+        .drop("slots")
+    )
+    bucketed = index.withColumn("bucket", F.pmod("slot", F.lit(spread)))
+    pairs = meet(bucketed, asked, ["list_id", "bucket"]).select(
+        "ids", "vectors", "columns_", "q_ids", "q_vectors", "q_rotated"
+    )
 
     def search(batches):
         for batch in batches:
