@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pathkin.llm.base import ship, table
+from pathkin.llm.base import meet, ship, table
 from pathkin.session import stage
 
 # fixed values: primes below 2^10, so that 64 products of centred residues stay below 2^24
@@ -191,7 +191,7 @@ def _meet(index: DataFrame, asked: DataFrame, slots: int, per_anchor: int, choos
                 anchors = Block(r.a_n, r.a_dims, r.a_ids, r.a_labels, r.a_cells, r.a_windows, per_anchor)
                 yield choose(anchors, rows)
 
-    pairs = left.join(right, "slot").select(*names, *[f"a_{c}" for c in names])
+    pairs = meet(left, right, ["slot"]).select(*names, *[f"a_{c}" for c in names])
     return pairs.mapInPandas(run, schema)
 
 
