@@ -239,11 +239,27 @@ class Model:
     def decisions(self, words: list[str]) -> np.ndarray:
         return self._features(words) @ self.weights if words else np.zeros(0)
 
-    def scores(self, texts: list[str], known: list[dict[str, float]], keep: int = 800_000) -> list[float]:
+    def scores(
+        self, texts: list[str], known: list[dict[str, float]], keep: int = 800_000, most_chars: int = 1_000_000
+    ) -> list[float]:
         """Scores of texts; ``known`` are two halves, newer and older, of units met before.
 
-        When the newer half has ``keep / 2`` units it becomes the older one.
+        When the newer half has ``keep / 2`` units it becomes the older one. The units of
+        texts take many times their memory, so at most ``most_chars`` characters are
+        taken apart at once, or one text.
         """
+        out: list[float] = []
+        some: list[str] = []
+        chars = 0
+        for text in texts:
+            if some and chars + len(text) > most_chars:
+                out += self._scores(some, known, keep)
+                some, chars = [], 0
+            some.append(text)
+            chars += len(text)
+        return out + (self._scores(some, known, keep) if some else [])
+
+    def _scores(self, texts: list[str], known: list[dict[str, float]], keep: int) -> list[float]:
         bags = [units(t) for t in texts]
         newer, older = known
         met = set().union(*bags) - newer.keys()

@@ -205,3 +205,20 @@ def test_blocks_meet_without_a_broadcast(spark):
         want = sorted((k for k in x if k != i), key=lambda k: -float(x[i] @ x[k]))[:5]
         got = sorted((r.rank, r.vec_id) for r in near.where(F.col("query_id") == i).collect())
         assert [k for _, k in got] == want
+
+
+def test_a_batch_of_texts_is_taken_apart_in_parts():
+    class Counted(toxicity.Model):
+        def __init__(self):
+            self.middle, self.line, self.most = 0.0, 8.0, 0
+
+        def decisions(self, words):
+            self.most = max(self.most, len(words))
+            return np.array([len(w) / 100 for w in words])
+
+    texts = [" ".join(f"word{i:03d}x{k:04d}" for k in range(1000)) for i in range(200)] + ["", "longer" * 3]
+    whole, parts = Counted(), Counted()
+    want = whole.scores(texts, [{}, {}], most_chars=10**9)
+    assert parts.scores(texts, [{}, {}]) == want
+    # 200,000 units in all
+    assert whole.most > 200_000 and parts.most < 100_000
