@@ -4,12 +4,14 @@ Generators propose spans of four kinds; those that meet the kind's fixed rules a
 base spans and stay. Wider proposals (grouped national numbers, spelled-out mail
 addresses) and base forms that fail their rules are scored by gradient-boosted trees
 on their format and the words before them. No base span is such a proposal, so the
-labels come from elsewhere: positives are base mail addresses and phone numbers of a
-bounded sample, rewritten into wide forms where they stand; negatives are rewrites
+labels come from elsewhere: positives are all base mail addresses and phone numbers,
+rewritten into wide forms where they stand; negatives are rewrites
 with a digit group or a following sentence too many or too few, base forms that
 failed, and digit groups inside IPs and cards. ``SEEDS`` invented mails and phones are rewritten
-too, so a corpus with few base spans is also taught. Other wide proposals have no
-label and are only scored. The lowest score whose precision on held-out labelled
+too, so a corpus with few base spans is also taught. Every labelled row counts: rows of
+equal features are one row with their number as weight, so what the trees read grows
+with the variety of forms, not with the corpus. Other wide proposals have no label and
+are only scored. The lowest score whose precision on held-out labelled
 rows is at least ``precision`` is the threshold; proposals above it that lie in no
 base span are added as kind ``other``.
 
@@ -194,10 +196,13 @@ def rewrites(rows: DataFrame) -> DataFrame:
 
 
 def threshold(scored: DataFrame, precision: float, bins: int = 100) -> float:
-    """Lowest score from which the share of positives is at least ``precision``; above 1 if none."""
+    """Lowest score from which the share of positives is at least ``precision``; above 1 if none.
+
+    A row stands for ``n_rows`` rows.
+    """
     rows = (
         scored.groupBy(F.floor(F.col("p") * bins).alias("bin"))
-        .agg(F.sum("label").alias("good"), F.count("*").alias("n"))
+        .agg(F.sum(F.col("label") * F.col("n_rows")).alias("good"), F.sum("n_rows").alias("n"))
         .orderBy(F.desc("bin"))
         .collect()  # at most bins + 1 rows
     )
@@ -210,7 +215,7 @@ def threshold(scored: DataFrame, precision: float, bins: int = 100) -> float:
     return best
 
 
-def scan(docs: DataFrame, sample_rows: int = 20_000, precision: float = 0.99) -> DataFrame:
+def scan(docs: DataFrame, precision: float = 0.99) -> DataFrame:
     """doc_id, base spans and all spans of every row."""
     text = F.col("text")
     docs = docs.select(docs["doc_id"], whole_text(docs).alias("text"))
@@ -228,21 +233,25 @@ def scan(docs: DataFrame, sample_rows: int = 20_000, precision: float = 0.99) ->
         "pii",
     )
     rows = proposal_rows(found)
-    labelled = rows.where("label is not null").select("row_", "before", "inside", "value", "label", "s")
-    told = rows.where("is_base and form in ('email', 'phone')").select("row_", "value", "before", "form", "s")
-    first = lambda d, n: d.orderBy(F.xxhash64("row_", "s.at", "s.end"), "row_").limit(n).drop("s")
-    made = rewrites(first(told, sample_rows // 20).unionByName(seeds(docs.sparkSession)))
-    sample = with_features(first(labelled, sample_rows).unionByName(made))
-    sample = written(sample.select("row_", "label", *FEATURES), "pii-sample")
+    labelled = rows.where("label is not null").select("row_", "before", "inside", "value", "label")
+    told = rows.where("is_base and form in ('email', 'phone')").select("row_", "value", "before", "form")
+    made = rewrites(told.unionByName(seeds(docs.sparkSession)))
     held = F.pmod(F.xxhash64("row_", *FEATURES), F.lit(4)) == 0
+    taught = (
+        with_features(labelled.unionByName(made))
+        .groupBy(held.alias("held"), "label", *FEATURES)
+        .agg(F.count("*").cast("double").alias("n_rows"))
+    )
+    taught = written(taught, "pii-taught")
     base = in_order(F.col("base_"), KINDS)
     nothing = F.array().cast(SPAN)
     join_features = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    model = GBTClassifier(maxDepth=4, maxIter=12, seed=3).fit(join_features.transform(sample.where(~held)))
+    trees = GBTClassifier(maxDepth=4, maxIter=12, seed=3, weightCol="n_rows")
+    model = trees.fit(join_features.transform(taught.where("not held")))
     score = lambda d: model.transform(join_features.transform(d)).withColumn(
         "p", vector_to_array("probability")[1]
     )
-    cut = threshold(score(sample.where(held)), precision)
+    cut = threshold(score(taught.where("held")), precision)
     extra = (
         score(with_features(rows.where(~F.col("covered")).drop("label")))
         .where(F.col("p") >= cut)

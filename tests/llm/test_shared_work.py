@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from pathkin.llm import ann, bsi, neardup, negatives, toxicity, transducer
+from pathkin.llm import ann, bsi, neardup, negatives, pii, toxicity, transducer
 
 
 @pytest.fixture(scope="module")
@@ -222,3 +222,12 @@ def test_a_batch_of_texts_is_taken_apart_in_parts():
     assert parts.scores(texts, [{}, {}]) == want
     # 200,000 units in all
     assert whole.most > 200_000 and parts.most < 100_000
+
+
+def test_personal_data_is_learned_from_every_base_span(spark, monkeypatch):
+    rows = [(i, f"write to mail{i}@site{i % 7}.org now") for i in range(1300)]
+    seen, plain = [], pii.rewrites
+    monkeypatch.setattr(pii, "rewrites", lambda told: seen.append(told.count()) or plain(told))
+    found = pii.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert seen == [1300 + pii.SEEDS]
+    assert found.where(F.size("base_") == 1).count() == 1300
