@@ -303,11 +303,24 @@ def dense_features(vectors: DataFrame, users: DataFrame, params: Params = Params
     )
 
 
-def densify_courses(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
-    """dept, std_no, course, value of asking students, the fill value where there is no star."""
-    asked = members(domain).join(users.select("std_no").distinct(), "std_no", "left_semi")
-    every = spread_join(course_universe(domain), asked, ["dept"], ["course"])
-    stars = course_entries(domain, params).withColumnRenamed("feature", "course")
-    return every.join(stars, ["dept", "std_no", "course"], "left").select(
-        "dept", "std_no", "course", F.coalesce("value", F.lit(params.fill)).alias("value")
+def densify_courses(
+    domain: Domain | Facts, users: DataFrame | None = None, params: Params = Params()
+) -> DataFrame:
+    """dept, std_no, course, value of every member, the fill value where there is no star.
+
+    With ``users``, of these students only. A student's stars travel as one map of
+    their own entries, so that the rows of student and course need no shuffle.
+    """
+    people, stars = members(domain), course_entries(domain, params)
+    if users is not None:
+        asked = users.select("std_no").distinct()
+        people, stars = (df.join(asked, "std_no", "left_semi") for df in (people, stars))
+    entries = F.map_from_entries(F.collect_list(F.struct("feature", "value")))
+    own = stars.groupBy("dept", "std_no").agg(entries.alias("_own"))
+    rows = people.join(own, ["dept", "std_no"], "left")
+    return spread_join(rows, course_universe(domain), ["dept"], ["std_no"]).select(
+        "dept",
+        "std_no",
+        "course",
+        F.coalesce(F.try_element_at("_own", F.col("course")), F.lit(params.fill)).alias("value"),
     )

@@ -24,7 +24,7 @@ from pathkin.operators import features as fe
 from pathkin.operators import relational as rel
 from pathkin.operators import trust as tr
 from pathkin.plans.testdata import departments, load_domain, query_students, table
-from pathkin.session import scratch_path, stage
+from pathkin.session import scratch_path
 from pathkin.sources import stores
 
 QUERIES = {}
@@ -298,9 +298,8 @@ def left_default_multiply(spark, sf):
 
 @query
 def densify_cohort(spark, sf):
-    """Every course of the department against the asking students."""
-    domain = load_domain(spark, sf)
-    dense = fe.densify_courses(domain, stage(query_students(domain), "asking"))
+    """Every course of the department against every student of it."""
+    dense = fe.densify_courses(load_domain(spark, sf))
     return dense.withColumn("value", F.round("value", 6))
 
 
