@@ -109,19 +109,13 @@ def interest_cascade(domain: Domain | Facts, users: DataFrame, params: Params =
     )
 
 
-def company_graduates(
-    domain: Domain | Facts, chosen: DataFrame, keep: list[str] = [], by_graduate: bool = False
-) -> DataFrame:
+def company_graduates(domain: Domain | Facts, chosen: DataFrame, keep: list[str] = []) -> DataFrame:
     """query_std, company, std_no: graduates of each chosen company.
 
     ``chosen`` has one row per (std_no, company); columns named in ``keep`` ride
-    along. The join multiplies rows. Where the caller groups them by graduate,
-    ``by_graduate`` places the distinct pairs before the join, so that the larger
-    result needs no further shuffle if ``chosen`` is small enough to be broadcast.
+    along. The join multiplies rows.
     """
     people = facts_of(domain).graduates.select("std_no", "company").distinct()
-    if by_graduate:
-        people = people.repartition("std_no")
     chosen = chosen.select(F.col("std_no").alias("query_std"), "company", *keep)
     return spread_join(people, chosen, ["company"], ["std_no"], buckets=4).select(
         "query_std", "company", "std_no", *keep

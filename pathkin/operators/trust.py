@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pathkin.domain import Domain
 from pathkin.functions.scalars import int_div, safe_int_ratio, safe_ratio, units_mean
 from pathkin.operators.facts import Facts, facts_of
-from pathkin.operators.interest import company_graduates, interest_cascade
+from pathkin.operators.interest import interest_cascade
 from pathkin.operators.relational import numbered, spread_join
 from pathkin.params import Params
 
@@ -40,12 +40,58 @@ def company_trust_all(domain: Domain | Facts, params: Params = Params()) -> Data
     return rate_employers(pairs, domain.company_ratings, params)
 
 
-def company_trust(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
-    """query_std, company, std_no, company_trust for employers the query student cares about."""
-    chosen = rate_employers(
-        interest_cascade(domain, users, params), domain.company_ratings, params
+def _set_bits() -> Column:
+    return F.expr("filter(sequence(0, 63), b -> (mask & shiftleft(1L, b)) != 0)")
+
+
+def _asked_companies(
+    facts: Facts, users: DataFrame, params: Params, chosen: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Two frames: query_std, block, bit; and company, block, mask, company_trust.
+
+    Query students go in blocks of 64 as the bits of one number. ``chosen`` are their
+    companies of interest (std_no, company) if the caller has them.
+    """
+    ids = users.select(F.col("std_no").alias("query_std")).filter("query_std is not null").distinct()
+    at = F.col("position") - 1
+    asking = facts.keep(
+        numbered(ids, [], ["query_std"]).select(
+            "query_std", int_div(at, F.lit(64).cast("bigint")).alias("block"), (at % 64).cast("int").alias("bit")
+        ),
+        "query-bits",
     )
-    return company_graduates(domain, chosen, ["company_trust"], by_graduate=True)
+    if chosen is None:
+        chosen = interest_cascade(facts, users, params)
+    bits = (
+        chosen.select(F.col("std_no").alias("query_std"), "company")
+        .join(asking, "query_std")
+        .groupBy("company", "block")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
+    )
+    return asking, rate_employers(bits, facts.company_ratings, params)
+
+
+def company_trust(
+    domain: Domain | Facts,
+    users: DataFrame,
+    params: Params = Params(),
+    chosen: DataFrame | None = None,
+    people: DataFrame | None = None,
+) -> DataFrame:
+    """query_std, company, std_no, company_trust for employers the query student cares about.
+
+    A graduate meets a company once for a block of query students and the rows are placed
+    by graduate before they are multiplied, so that the larger result needs no shuffle
+    where it is grouped or joined by graduate. ``people`` (std_no) limits the graduates.
+    """
+    facts = facts_of(domain)
+    asking, rated = _asked_companies(facts, users, params, chosen)
+    graduates = facts.graduates.select("std_no", "company")
+    if people is not None:
+        graduates = graduates.join(people.select("std_no").distinct(), "std_no", "left_semi")
+    met = spread_join(graduates, rated, ["company"], ["std_no"], buckets=4).repartition("std_no").distinct()
+    answered = met.select("std_no", "company", "block", "company_trust", F.explode(_set_bits()).alias("bit"))
+    return answered.join(asking, ["block", "bit"]).select("query_std", "company", "std_no", "company_trust")
 
 
 def content_trust(domain: Domain | Facts) -> DataFrame:
@@ -85,7 +131,9 @@ def activity_score(domain: Domain | Facts, params: Params = Params()) -> DataFra
     )
 
 
-def best_employers(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
+def best_employers(
+    domain: Domain | Facts, users: DataFrame, params: Params = Params(), chosen: DataFrame | None = None
+) -> DataFrame:
     """query_std, std_no, company_trust: the best employer each query student cares about.
 
     Query students go in blocks of 64 as the bits of one number, so a graduate meets a
@@ -94,18 +142,7 @@ def best_employers(domain: Domain | Facts, users: DataFrame, params: Params = Pa
     highest trust downward each query student is answered once, at their first bit.
     """
     facts = facts_of(domain)
-    asking = facts.keep(
-        numbered(users.select(F.col("std_no").alias("query_std")).filter("query_std is not null").distinct(), [], ["query_std"])
-        .select("query_std", int_div(F.col("position") - 1, F.lit(64).cast("bigint")).alias("block"), ((F.col("position") - 1) % 64).cast("int").alias("bit")),
-        "query-bits",
-    )
-    chosen = interest_cascade(domain, users, params).select(F.col("std_no").alias("query_std"), "company")
-    bits = (
-        chosen.join(asking, "query_std")
-        .groupBy("company", "block")
-        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
-    )
-    rated = rate_employers(bits, facts.company_ratings, params)
+    asking, rated = _asked_companies(facts, users, params, chosen)
     people = facts.graduates.select("std_no", "company").distinct()
     levels = (
         spread_join(people, rated, ["company"], ["std_no"])
@@ -126,23 +163,30 @@ def best_employers(domain: Domain | Facts, users: DataFrame, params: Params = Pa
             .otherwise(state["first"]).alias("first"),
         )
 
-    set_bits = F.expr("filter(sequence(0, 63), b -> (mask & shiftleft(1L, b)) != 0)")
     answered = (
         levels.select("std_no", "block", F.explode(F.aggregate("levels", start, step)["first"]).alias("l"))
         .select("std_no", "block", "l.*")
-        .select("std_no", "block", "company_trust", F.explode(set_bits).alias("bit"))
+        .select("std_no", "block", "company_trust", F.explode(_set_bits()).alias("bit"))
     )
     return answered.join(asking, ["block", "bit"]).select("query_std", "std_no", "company_trust")
 
 
-def user_trust(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
+def user_trust(
+    domain: Domain | Facts,
+    users: DataFrame,
+    params: Params = Params(),
+    chosen: DataFrame | None = None,
+    people: DataFrame | None = None,
+) -> DataFrame:
     """query_std, std_no, trust of the graduates of the companies of interest.
 
     One row per person (their best employer) unless ``trust_agg`` is "none", which
-    keeps one row per employer.
+    keeps one row per employer, of the graduates in ``people`` only if it is given.
     """
-    per_person = params.trust_agg == "max"
-    employers = best_employers(domain, users, params) if per_person else company_trust(domain, users, params)
+    if params.trust_agg == "max":
+        employers = best_employers(domain, users, params, chosen)
+    else:
+        employers = company_trust(domain, users, params, chosen, people)
     scores = activity_score(domain, params).select("std_no", "act_score")
     return employers.join(scores, "std_no").select(
         "query_std",

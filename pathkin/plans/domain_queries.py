@@ -92,10 +92,13 @@ def company_graduates(spark, sf):
 @query
 def company_trust(spark, sf):
     """Best employer trust of each graduate, per asking student."""
-    people = tr.company_trust(*_asking(spark, sf)).groupBy("query_std", "std_no")
-    return people.agg(
-        F.round(F.max("company_trust"), SIX).alias("best"), F.count("*").alias("employers")
-    )
+    best = F.round(F.max("company_trust"), SIX).alias("best")
+
+    def make(facts, asking):
+        people = tr.company_trust(facts, asking).groupBy("query_std", "std_no")
+        return people.agg(best, F.count("*").alias("employers"))
+
+    return _in_run(spark, sf, make)
 
 
 @query
