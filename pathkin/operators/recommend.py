@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pathkin.domain import Domain
 from pathkin.functions.scalars import COMPLETED, COUNT_CODES, TITLE_CODES, int_div
 from pathkin.operators.facts import Facts, facts_of
+from pathkin.operators.interest import interest_cascade
 from pathkin.operators.relational import top_k
 from pathkin.operators.similarity import similarity
 from pathkin.operators.trust import content_trust, user_trust
@@ -61,10 +62,28 @@ def nearest(blended: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def neighbours(domain: Domain | Facts, users: DataFrame, params: Params = Params()) -> DataFrame:
-    people = nearest(
-        blend(user_trust(domain, users, params), similarity(domain, users, params), params), params
-    )
-    return facts_of(domain).keep_in_run(people, "neighbours")
+    """``nearest`` over trust and similarity.
+
+    With one trust row per employer, the best rows are those of people whose best row
+    is among the best people's: these are found first, by one row a person, and only
+    their rows by employer are blended and ranked.
+    """
+    facts = facts_of(domain)
+    similar = similarity(domain, users, params)
+    if params.trust_agg == "max":
+        people = nearest(blend(user_trust(domain, users, params), similar, params), params)
+        return facts.keep_in_run(people, "neighbours")
+    chosen = facts.keep(interest_cascade(domain, users, params), "chosen")
+    by_person = params.with_(trust_agg="max")
+    first = blend(user_trust(domain, users, by_person, chosen), similar, params)
+    if not params.include_self:
+        first = first.filter(F.col("std_no") != F.col("query_std"))
+    first = top_k(first, ["query_std"], [F.col("score").desc(), F.col("std_no")], params.neighbours)
+    # at most ``neighbours`` rows a query student
+    first = facts.keep(first.select("query_std", "std_no", "similarity"), "best-people")
+    trust = user_trust(domain, users, params, chosen, first)
+    trust = trust.join(first.select("query_std", "std_no"), ["query_std", "std_no"], "left_semi")
+    return facts.keep_in_run(nearest(blend(trust, first, params), params), "neighbours")
 
 
 def doings(domain: Domain | Facts, people: DataFrame) -> DataFrame:
