@@ -64,10 +64,14 @@ def _activity_type() -> Column:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order."""
+    """Line items with their order.
+
+    A task holds its orders in a hash table and need not sort its lines, which take
+    several times the memory.
+    """
     orders = table(spark, sf_dir, "orders")
     lineitem = table(spark, sf_dir, "lineitem")
-    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).withColumn("std_no", _text("o_custkey"))
+    return lineitem.join(orders.hint("shuffle_hash"), lineitem.l_orderkey == orders.o_orderkey).withColumn("std_no", _text("o_custkey"))
 
 
 def _bought(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
