@@ -51,13 +51,23 @@ def test_company_trust_needs_no_shuffle_by_graduate(spark, domain):
     assert not re.search(r"hashpartitioning\(query_std#\d+, std_no#", plan(grouped))
 
 
-def test_first_run_ranks_as_over_all_rows(spark, domain):
+def test_first_run_ranks_as_over_all_rows(spark, domain, monkeypatch):
     params = Params.as_first_run().with_(neighbours=5)
     asking = users(spark, "s00", "s01")
     similar = rc.similarity(domain, asking, params)
     want = rc.nearest(rc.blend(rc.user_trust(domain, asking, params), similar, params), params)
     columns = ["query_std", "rank", "std_no", "score", "k"]
+    blended, plain = [], rc.blend
+
+    def counted(trust, *others):
+        if "company" in trust.columns:
+            blended.append((trust.count(), trust.select("query_std", "std_no").distinct().count()))
+        return plain(trust, *others)
+
+    monkeypatch.setattr(rc, "blend", counted)
     got = rc.neighbours(domain, asking, params)
+    # rows by employer of five people at most for either query student, not of all twelve
+    assert len(blended) == 1 and blended[0][1] <= 10
     assert rows(got, *columns) == rows(want, *columns)
     # several rows of one person are among the first
     assert len({r[2] for r in rows(got, *columns)}) < len(rows(got, *columns))
