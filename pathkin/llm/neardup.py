@@ -28,6 +28,9 @@ one member has is an element that only the other, or only it, holds. Blocks of a
 ``SLOT`` members meet in a grid, so no task holds a group. A pair whose classes are joined
 already tells nothing, so a block emits no more links than it has members.
 
+A text is shuffled once to be looked up by those that name it, and once in every slot
+that it is compared in. What is kept for the run is removed when its classes are written.
+
 Classes are the connected parts of the links. Exact copies share a text, are
 sampled once, and get its class. Null texts count as empty; empty texts are copies
 of each other. Repeated rows are copies. An empty table gives no rows.
@@ -41,6 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathkin.llm.base import DOC_COLUMNS, ship, table, whole_text
+from pathkin.session import Workspace
 from pathkin.session import stage as written
 
 BUCKETS = 1 << 16
@@ -272,7 +276,13 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return 1 + np.log((1 + total) / (1 + counts[:BUCKETS])), int(total)
 
 
-def components(links: DataFrame) -> DataFrame:
+def chosen(block: dict, which: np.ndarray) -> dict:
+    """Some members of a block."""
+    at = np.flatnonzero(which)
+    return {k: [v[n] for n in at] if isinstance(v, list) else v[at] for k, v in block.items()}
+
+
+def components(links: DataFrame, written=written) -> DataFrame:
     """(node, part): the least node of each connected part; ``links`` has a and b.
 
     Rounds go on until no node changes; each passes on what a part's least node has
@@ -304,7 +314,15 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: int = 3) -> DataFrame:
     """Adds class_id (the least row key of the class, by doc_id) to key, doc_id."""
-    spark = docs.sparkSession
+    with Workspace(docs.sparkSession, "neardup") as space:
+        return written(classes_within(space, docs, threshold, bands, rows), "near-classes")
+
+
+def classes_within(
+    space: Workspace, docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows: int = 3
+) -> DataFrame:
+    """As ``near_classes``; the frame reads tables of ``space``."""
+    spark, written = docs.sparkSession, space.stage
     ship(spark)
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole_text(docs).alias("text"))
     idf, _ = document_frequencies(docs)
@@ -322,17 +340,26 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
                 with np.errstate(over="ignore"):
                     band = mixed((s * _ODD[:rows]).sum(axis=1) + _ODD[100 : 100 + 2 * bands])
                 keys.append(band.view(np.int64).tolist())
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"], "bands": keys})
+            yield pd.DataFrame(
+                {"doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"], "size": batch["size"], "bands": keys}
+            )
 
-    marked = docs.withColumn("mark", F.sha2(F.col("text").cast("binary"), 256))
-    all_rows = written(marked.mapInPandas(sketch, "doc_id long, mark string, bands array<long>"), "sketch")
+    marked = docs.withColumns({"mark": F.sha2(F.col("text").cast("binary"), 256), "size": F.length("text")})
+    all_rows = written(marked.mapInPandas(sketch, "doc_id long, mark string, size int, bands array<long>"), "sketch")
     # exact copies: one text, named by its least id
     texts = written(
-        all_rows.groupBy("mark").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands")), "texts"
+        all_rows.groupBy("mark")
+        .agg(F.min("doc_id").alias("doc_id"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands"))
+        .withColumn("row", F.monotonically_increasing_id()),
+        "texts",
     )
-    member = texts.select(F.col("mark"), F.explode("bands").alias("band"))
+    # most bands are met once: they are looked through by number, the others get their marks
+    member = texts.select("row", F.explode("bands").alias("band"))
     crowded = written(
-        member.join(member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"), "crowded"
+        member.join(member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band")
+        .join(texts.select("row", "mark"), "row")
+        .select("band", "mark", "n"),
+        "crowded",
     )
     # the text that meets most others is the one the others were copied from, or near it
     met = crowded.groupBy("mark").agg(F.sum("n").alias("met"))
@@ -340,43 +367,47 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
     buckets = written(crowded.select("band", "mark").join(leaders, "band"), "buckets")
 
     def verify(batches):
-        kept = {}
+        # a leader's row comes before those of its members in the slot
         for batch in batches:
             out = []
-            for a, b, slot, slots, x, y in batch[["a", "b", "slot", "slots", "x", "y"]].itertuples(index=False):
-                if a not in kept:
-                    kept.clear()
-                    runs, value, counts = elements(x, shared.value)
-                    kept[a] = (runs, value * counts), occurrences(runs, value, counts)
-                runs, value, counts = elements(y, shared.value)
-                both = similarity(kept[a][0], (runs, value * counts))
-                mine = occurrences(runs, value, counts)
+            for a, b, slot, slots, leads, text in batch[["a", "b", "slot", "slots", "leads", "text"]].itertuples(index=False):
+                runs, value, counts = elements(text, shared.value)
+                whole, mine = (runs, value * counts), occurrences(runs, value, counts)
+                if leads:
+                    leader, of_leader = whole, mine
+                    continue
                 size = len(runs), float((value * counts).sum())
-                out.append((a, b, slot, slots, *both, *size, differences(kept[a][1], mine), *apart(kept[a][1], mine)))
+                out.append(
+                    (a, b, slot, slots, *similarity(leader, whole), *size, differences(of_leader, mine), *apart(of_leader, mine))
+                )
             yield pd.DataFrame(out, columns=["a", "b", "slot", "slots", "s", "plain", "n", "weight", "bits", *TOLD])
 
-    sample_text = texts.select("mark", "doc_id")
     pairs = written(
         buckets.where("mark <> leader").select(F.col("leader").alias("a"), F.col("mark").alias("b")).distinct(), "pairs"
     )
-    # one copy of each text that a pair names
-    paired = pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))).distinct()
-    kept_texts = marked.join(paired, "mark", "left_semi").groupBy("mark").agg(F.any_value("text").alias("text"))
-    kept_texts = written(kept_texts.withColumn("size", F.length("text")), "first-texts")
     # a leader is dealt over as many slots as its members and their texts fill
     slots = written(
-        pairs.join(kept_texts.select(F.col("mark").alias("b"), "size"), "b")
+        pairs.join(texts.select(F.col("mark").alias("b"), "size"), "b")
         .groupBy("a")
         .agg(F.greatest(F.ceil(F.count("*") / SLOT), F.ceil(F.sum("size") / SLOT_CHARS), F.lit(1)).cast("int").alias("slots")),
         "slots",
     )
-    dealt = pairs.join(slots, "a").withColumn("slot", F.pmod(F.xxhash64("b"), F.col("slots")).cast("int"))
-    right = dealt.join(kept_texts.select(F.col("mark").alias("b"), F.col("text").alias("y")), "b")
-    left = kept_texts.join(slots, F.col("mark") == F.col("a")).select(
-        "a", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.col("text").alias("x")
+    every_slot = F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
+    dealt = pairs.join(slots, "a").select(
+        "a", F.pmod(F.xxhash64("b"), F.col("slots")).cast("int").alias("slot"), "slots", "b", F.lit(False).alias("leads")
     )
+    dealt = written(
+        dealt.union(slots.select("a", every_slot.alias("slot"), "slots", F.col("a").alias("b"), F.lit(True).alias("leads"))),
+        "dealt",
+    )
+    # one copy of each text that a pair names, then one for each slot it is compared in
+    asked = dealt.select(F.col("b").alias("mark")).distinct()
+    kept_texts = marked.join(asked, "mark", "left_semi").groupBy("mark").agg(F.any_value("text").alias("text"))
     first = written(
-        right.join(left, ["a", "slot"]).select("a", "b", "slot", "slots", "x", "y").mapInPandas(
+        dealt.join(kept_texts.withColumnRenamed("mark", "b"), "b")
+        .repartition("a", "slot")
+        .sortWithinPartitions("a", "slot", F.col("leads").desc())
+        .mapInPandas(
             verify,
             "a string, b string, slot int, slots int, s double, plain double, n long, weight double, bits binary, "
             "names binary, costs binary, firsts binary, w_adds double, w_lacks double, n_adds long, n_lacks long",
@@ -385,29 +416,34 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
     )
     linked = F.greatest("s", "plain") >= threshold
     links = first.where(linked).select("a", "b")
-    parts = components(links)
+    parts = components(links, written)
     # members without a link to their leader meet the others that the leader has
-    placed = first.join(parts.select(F.col("node").alias("b"), "part"), "b", "left").select(
-        F.col("a").alias("leader"), "slot", "slots", F.col("b").alias("mark"), F.coalesce("part", "b").alias("part"),
+    member_rows = first.select(
+        F.col("a").alias("leader"), "slot", "slots", F.col("b").alias("mark"),
         (~linked).alias("open"), (1 - F.col("s")).alias("far"), (1 - F.col("plain")).alias("apart"),
         "n", "weight", "bits", *TOLD,
     )
-    member_row = F.struct("mark", "part", "open", "far", "apart", "n", "weight", "bits", *TOLD)
+    unsettled = member_rows.where("open").select("leader", "slots").distinct().select("leader", every_slot.alias("slot"))
+    many = member_rows.where("slots > 1").join(unsettled, ["leader", "slot"], "left_semi")
+    # what is wide goes to its blocks once; the classes' names are narrow and meet it there
+    wide = member_rows.where("slots = 1").union(many.select(*member_rows.columns))
+    narrow = (
+        member_rows.select("leader", "slot", "slots", "mark").join(unsettled, ["leader", "slot"], "left_semi")
+        .join(parts.withColumnRenamed("node", "mark"), "mark", "left")
+        .withColumn("part", F.coalesce("part", "mark"))
+    )
 
-    def blocks(rows: DataFrame, mine: str, other: str, name: str) -> DataFrame:
-        # a block for each slot, once for every slot that it meets
-        made = rows.groupBy("leader", "slots", F.col("slot").alias(mine)).agg(F.collect_list(member_row).alias(name))
-        return made.withColumn(other, F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).drop("slots")
+    def blocks(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
+        # two slots of a leader, or one with itself
+        pair = rows.withColumn("other", every_slot).withColumns({"i": F.least("slot", "other"), "j": F.greatest("slot", "other")})
+        return pair.groupBy("leader", "i", "j").agg(F.collect_list(F.struct(*columns)).alias(name))
 
-    placed = written(placed, "placed")
-    unsettled = placed.where("open").select("leader", "slots").distinct().select(
-        "leader", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot")
-    )
-    met_blocks = blocks(placed.where("open"), "i", "j", "x").join(
-        blocks(placed.join(unsettled, ["leader", "slot"], "left_semi"), "j", "i", "y"), ["leader", "i", "j"]
+    met_blocks = blocks(wide, ["mark", "slot", "open", "far", "apart", "n", "weight", "bits", *TOLD], "members").join(
+        blocks(narrow, ["mark", "part"], "parts"), ["leader", "i", "j"]
     )
 
-    def unpacked(rows) -> dict:
+    def unpacked(rows, parts) -> dict:
+        part = {r["mark"]: r["part"] for r in parts}
         numbers = ("far", "apart", "n", "weight", "w_adds", "w_lacks", "n_adds", "n_lacks")
         out = {k: np.array([r[k] for r in rows], dtype=float) for k in numbers}
         bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in rows), dtype=np.uint64)
@@ -415,17 +451,22 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, bands: int = 12, rows:
         out |= {"lacks": bits[:, 0], "adds": bits[:, 1], "open": np.array([r["open"] for r in rows], dtype=bool)}
         for k, kind in (("names", np.uint64), ("costs", np.float64), ("firsts", bool)):
             out[k] = [np.frombuffer(bytes(r[k]), dtype=kind) for r in rows]
-        return out | {k: np.array([r[k] for r in rows]) for k in ("mark", "part")}
+        names = [r["mark"] for r in rows]
+        return out | {"mark": np.array(names), "part": np.array([part[m] for m in names]), "slot": np.array([r["slot"] for r in rows])}
 
     def candidates(batches):
         for batch in batches:
-            for x, y in zip(batch["x"], batch["y"]):
-                a, b = joining(unpacked(x), unpacked(y), threshold)
-                yield pd.DataFrame({"a": a, "b": b}, dtype=object)
-
-    more = met_blocks.select("x", "y").mapInPandas(candidates, "a string, b string")
-    parts = components(links.union(more))
-    named = sample_text.join(parts.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
+            for i, j, members, parts in batch[["i", "j", "members", "parts"]].itertuples(index=False):
+                block = unpacked(members, parts)
+                for mine, other in {(i, j), (j, i)}:
+                    x, y = chosen(block, block["open"] & (block["slot"] == mine)), chosen(block, block["slot"] == other)
+                    if len(x["mark"]) and len(y["mark"]):
+                        a, b = joining(x, y, threshold)
+                        yield pd.DataFrame({"a": a, "b": b}, dtype=object)
+
+    more = met_blocks.select("i", "j", "members", "parts").mapInPandas(candidates, "a string, b string")
+    parts = components(links.union(more), written)
+    named = texts.select("mark", "doc_id").join(parts.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
         "part", F.coalesce("part", "mark")
     )
     least = named.groupBy("part").agg(F.min("doc_id").alias("class_id"))
@@ -444,11 +485,13 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged for each of them. Null ids come last; of rows that agree in id and text one stays.
     """
     no_id, key = F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("key_")
-    kept = (
-        near_classes(docs)
-        .groupBy("part").agg(F.min(F.struct(no_id, key, "mark")).alias("k"))
-        .select("k.*")
-    )
+    with Workspace(spark, "neardup") as space:
+        kept = written(
+            classes_within(space, docs)
+            .groupBy("part").agg(F.min(F.struct(no_id, key, "mark")).alias("k"))
+            .select("k.*"),
+            "kept",
+        )
     text = F.coalesce(docs["text"], F.lit(""))
     named = docs.select(*DOC_COLUMNS).withColumns(
         {"no_id": docs["doc_id"].isNull(), "key_": F.coalesce(docs["doc_id"].cast("long"), F.lit(0)), "mark": F.sha2(text.cast("binary"), 256)}

@@ -93,7 +93,9 @@ def scan(
         ).alias("spread_"),
     )
     base = in_order(F.filter("found_", lambda s: s["kind"] != "live"), KINDS)
-    out = found.join(by_row, "row_", "left").withColumn("base_", base)
+    # a row without candidates has nothing to meet, so its text is not shuffled
+    some_found = found.where(F.size("found_") > 0).join(by_row, "row_", "left")
+    out = some_found.unionByName(found.where(F.size("found_") <= 0), allowMissingColumns=True).withColumn("base_", base)
     extra = F.filter(
         F.coalesce("live_", F.filter("base_", lambda s: F.lit(False))),
         lambda s: (s["kind"] == "live")

@@ -9,7 +9,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from pathkin.llm import ann, bsi, neardup, negatives, pii, toxicity, transducer
+from pathkin.llm import ann, bsi, neardup, negatives, pii, secrets, toxicity, transducer
+from pathkin.session import Workspace, shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -231,3 +232,54 @@ def test_personal_data_is_learned_from_every_base_span(spark, monkeypatch):
     found = pii.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert seen == [1300 + pii.SEEDS]
     assert found.where(F.size("base_") == 1).count() == 1300
+
+
+def test_near_duplicates_leave_only_their_classes_behind(spark, tmp_path):
+    chance = random.Random(21)
+    words = [f"w{i}" for i in range(80)]
+    base = chance.choices(words, k=60)
+    texts = [" ".join(base[:k] + ["new"] + base[k:]) for k in range(0, 60, 4)]
+    texts += [" ".join(chance.choices(words, k=60)) for _ in range(10)] + [texts[0], "", None]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    kept = neardup.stage(spark, docs, "")
+    left = set(folder.iterdir()) - before
+    assert [p.name.split("-")[0] for p in left] == ["kept"]
+    assert sorted(r.doc_id for r in kept.collect()) == [0, *range(15, 25), 26]
+    neardup.near_classes(docs)
+    assert sorted(p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before) == ["kept", "near-classes"]
+
+
+def test_bands_are_looked_through_without_marks(spark, monkeypatch):
+    # rows that go through a shuffle by band hold numbers only
+    plans = []
+    stage = Workspace.stage
+
+    def watched(self, df, name, by=[]):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stage(self, df, name, by)
+
+    monkeypatch.setattr(Workspace, "stage", watched)
+    docs = spark.createDataFrame([(1, "one two three", "en"), (2, "one two three", "en")], "doc_id long, text string, lang string")
+    assert [r.class_id for r in neardup.near_classes(docs).collect()] == [1, 1]
+    crowded = dict(plans)["crowded"]
+    generated = [line for line in crowded.splitlines() if "Generate explode" in line]
+    assert generated and not any("mark" in line for line in generated)
+
+
+def test_texts_without_candidates_meet_nothing(spark):
+    texts = ["plain words", 'x password = "abc12345" y', None, "", "0a" * 16, "more plain words"]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    done = secrets.stage(spark, docs, "")
+    want = ["plain words", 'x [secret]" y', "", "", "[secret]", "more plain words"]
+    assert [r.text for r in done.orderBy("doc_id").collect()] == want
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    first = next(line for line in plan.splitlines() if "Union" in line or "Join" in line)
+    assert "Union" in first
