@@ -32,6 +32,20 @@ def ship(spark: SparkSession) -> None:
     spark.conf.set("pathkin.shipped", spark.sparkContext.applicationId)
 
 
+_table: list = [None, None]
+
+
+def worker_table(key, make):
+    """What a worker keeps from task to task: the table of one operator, made when its key is new.
+
+    Spark hands a worker on from one operator to the next, so another's table goes first.
+    """
+    if _table[0] != key:
+        _table[:] = None, None
+        _table[:] = key, make()
+    return _table[1]
+
+
 def fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     text = F.coalesce(doc_id.cast("string"), F.lit(""))

@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathkin.llm.base import DOC_COLUMNS, ship, table, whole_text
+from pathkin.llm.base import DOC_COLUMNS, ship, table, whole_text, worker_table
 from pathkin.session import Workspace
 from pathkin.session import stage as written
 
@@ -260,6 +260,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Inverse document frequency of each place; the collected table has BUCKETS rows at most."""
 
     def run(batches):
+        worker_table("neardup", dict)  # lets go of the table of an operator before
         counts = np.zeros(BUCKETS + 1, dtype=np.int64)
         for batch in batches:
             for text in batch["text"]:

@@ -18,7 +18,6 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,7 +28,7 @@ import public_tokenizers
 
 from pathlib import Path
 
-from pathkin.llm.base import ship, table, whole_text
+from pathkin.llm.base import ship, table, whole_text, worker_table
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,"
@@ -93,9 +92,8 @@ class ChunkIds:
         return b"".join(out)
 
 
-@lru_cache(maxsize=2)
 def _coder(json_path: str, ranks_path: str) -> ChunkIds:
-    return ChunkIds(json_path, ranks_path)
+    return worker_table((json_path, ranks_path), lambda: ChunkIds(json_path, ranks_path))
 
 
 def cut(total: int, capacity: int, unit: int) -> list[tuple[int, int]]:

@@ -25,14 +25,13 @@ import math
 import re
 import uuid
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathkin.llm.base import DOC_COLUMNS, fold, labelled_sample, ship, table, whole_text
+from pathkin.llm.base import DOC_COLUMNS, fold, labelled_sample, ship, table, whole_text, worker_table
 
 WINDOW, STEP = 24, 12
 _SPACED = re.compile(r"(?<!\S)\S(?:\s\S)+(?!\S)")
@@ -292,12 +291,6 @@ def fit(spark: SparkSession, sf_dir: str, sample: int = 1000, max_chars: int = 2
     return Model(toxic, clean) if toxic and clean else None
 
 
-@lru_cache(maxsize=1)
-def _known(key: str) -> list[dict[str, float]]:
-    """Units that this worker has scored with the model of that key."""
-    return [{}, {}]
-
-
 def scored(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
@@ -307,7 +300,8 @@ def scored(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     shared, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def score(batches):
-        known = _known(key)
+        # units that this worker has scored with this model
+        known = worker_table(key, lambda: [{}, {}])
         for texts in batches:
             yield pd.Series(shared.value.scores(texts.tolist(), known), dtype=float)
 

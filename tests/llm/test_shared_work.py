@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from pathkin.llm import ann, bsi, neardup, negatives, pii, secrets, toxicity, transducer
+from pathkin.llm import ann, base, bsi, neardup, negatives, pii, secrets, toxicity, transducer
 from pathkin.session import Workspace, shared_dir
 
 
@@ -283,3 +283,17 @@ def test_texts_without_candidates_meet_nothing(spark):
     plan = done._jdf.queryExecution().optimizedPlan().toString()
     first = next(line for line in plan.splitlines() if "Union" in line or "Join" in line)
     assert "Union" in first
+
+
+def test_a_worker_keeps_one_operators_table():
+    import weakref
+
+    class Table:
+        pass
+
+    first = base.worker_table("one", Table)
+    assert base.worker_table("one", Table) is first
+    seen = weakref.ref(first)
+    del first
+    # the table of the operator before is gone when the next is made
+    assert base.worker_table("two", lambda: [seen()]) == [None]
